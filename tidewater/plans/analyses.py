@@ -48,3 +48,260 @@ def monthly_series(dom: Domain) -> DataFrame:
         round_ratio("_mov_sum", "_mov_n", 2).alias("moving_avg_3month"),
         F.col("cumulative_encounters").cast("bigint").alias("cumulative_encounters"),
     )
+
+
+# ---------------------------------------------------------------- shared per-encounter child counts
+
+def encounter_child_counts(dom: Domain) -> DataFrame:
+    """Distinct drugs and diagnoses per encounter, from one pass over lineitem.
+
+    Replaces the reference's double LEFT JOIN + COUNT(DISTINCT) (which first builds every
+    drug x diagnosis pair of an encounter) by an aggregate per encounter; the result is
+    identical because the view groups by encounter.
+    """
+    li = dom.t.lineitem
+    return li.groupBy(F.col("l_orderkey").alias("encounter_id")).agg(
+        F.count_distinct("l_partkey").alias("n_drugs"),
+        F.count_distinct("l_linenumber").alias("n_diagnoses"),
+    )
+
+
+def int_avg(c: str):
+    """AVG of an integer column as sum/count in double (same bits in every engine)."""
+    return F.sum(c).cast("double") / F.count(c)
+
+
+# ---------------------------------------------------------------- Q1-Q3 feature views
+
+def readmission_view(dom: Domain) -> DataFrame:
+    """Q1: one row per encounter with patient attributes, specialty, drug/diagnosis counts."""
+    e, p = dom.encounters(), dom.patients()
+    kids = encounter_child_counts(dom)
+    j = (e.join(p.select("patient_id", "race", "gender", "risk_factors"), "patient_id", "inner")
+         .join(dom.medical_specialties(), "medical_specialty_id", "left")
+         .join(kids, "encounter_id", "left"))
+    return j.select(
+        "encounter_id", "patient_id", "race", "gender",
+        F.col("encounter_age").alias("age_group"),
+        "time_in_hospital", "number_outpatient", "number_emergency", "number_inpatient",
+        F.col("specialty_name").alias("treating_specialty"),
+        F.coalesce("n_drugs", F.lit(0)).alias("total_drugs_prescribed"),
+        F.coalesce("n_diagnoses", F.lit(0)).alias("diagnosis_count"),
+        F.get_json_object("risk_factors", "$.diabetes").alias("has_diabetes"),
+        F.col("readmitted_flag").alias("is_readmitted"),
+    )
+
+
+def length_of_stay_view(dom: Domain) -> DataFrame:
+    """Q2: regression dataset for length of stay."""
+    e, p = dom.encounters(), dom.patients()
+    kids = encounter_child_counts(dom)
+    j = (e.join(p.select("patient_id", "race", "gender"), "patient_id", "inner")
+         .join(dom.medical_specialties(), "medical_specialty_id", "left")
+         .join(kids, "encounter_id", "left"))
+    return j.select(
+        "encounter_id", F.col("encounter_age").alias("age_group"), "gender", "race", "admission_type_name",
+        "specialty_name",
+        F.coalesce("n_drugs", F.lit(0)).alias("medication_count"),
+        F.coalesce("n_diagnoses", F.lit(0)).alias("diagnosis_count"),
+        F.col("time_in_hospital").alias("length_of_stay_days"),
+    )
+
+
+def patient_encounter_rollup(dom: Domain) -> DataFrame:
+    """Per-patient encounter aggregates (aggregate before joining to patients)."""
+    e = dom.encounters()
+    kids = encounter_child_counts(dom).select("encounter_id", "n_drugs")
+    return e.join(kids, "encounter_id", "left").groupBy("patient_id").agg(
+        F.count_distinct("encounter_id").alias("total_encounters"),
+        F.sum("time_in_hospital").alias("_los_sum"),
+        F.count("time_in_hospital").alias("_los_n"),
+        F.sum("readmitted_flag").alias("_flags"),
+        F.sum("n_drugs").alias("_drug_sum"),
+        F.count("n_drugs").alias("_drug_n"),
+    )
+
+
+def patient_risk_view(dom: Domain) -> DataFrame:
+    """Q3: every patient (also those without encounters) with encounter statistics."""
+    p = dom.patients()
+    r = patient_encounter_rollup(dom)
+    j = p.join(r, "patient_id", "left")
+    return j.select(
+        "patient_id", "race", "gender",
+        F.coalesce("total_encounters", F.lit(0)).alias("total_encounters"),
+        (F.col("_los_sum").cast("double") / F.col("_los_n")).alias("avg_length_of_stay"),
+        F.coalesce("_flags", F.lit(0)).cast("bigint").alias("total_readmissions"),
+        (F.col("_drug_sum").cast("double") / F.nullif(F.col("_drug_n"), F.lit(0))).alias("avg_medications_per_visit"),
+        F.get_json_object("risk_factors", "$.diabetes").alias("has_diabetes"),
+    )
+
+
+# ---------------------------------------------------------------- Q4-Q6 procedures and 5A
+
+def patient_risk_scores(dom: Domain, patient_id: int | None = None) -> DataFrame:
+    """Q4: readmission rate in percent, rounded to 2 decimals, then banded (>= 50 High, >= 25 Medium).
+
+    The procedure computed one patient; this computes all (or one when ``patient_id``
+    is given, as a pushed-down filter).
+    """
+    p = dom.patients().select("patient_id")
+    r = patient_encounter_rollup(dom).select("patient_id", "total_encounters", "_flags")
+    if patient_id is not None:
+        p, r = p.where(F.col("patient_id") == patient_id), r.where(F.col("patient_id") == patient_id)
+    j = p.join(r, "patient_id", "left")
+    n = F.coalesce(F.col("total_encounters"), F.lit(0))
+    score = F.coalesce(round_ratio(F.col("_flags") * 100, n, 2), F.lit(0.0))
+    return j.select(
+        "patient_id", n.alias("total_encounters"), score.alias("risk_score"),
+    ).withColumn("risk_category", F.when(F.col("risk_score") >= 50, "High")
+                 .when(F.col("risk_score") >= 25, "Medium").otherwise("Low"))
+
+
+def encounter_summary(dom: Domain, encounter_id: int | None = None) -> DataFrame:
+    """Q5: encounter with its outcome category (one key, or all when no key is given)."""
+    e = dom.encounters()
+    if encounter_id is not None:
+        e = e.where(F.col("encounter_id") == encounter_id)
+    return e.select("encounter_id", "patient_id", "encounter_date", "time_in_hospital", "readmitted_category")
+
+
+def patient_risk_level(dom: Domain) -> DataFrame:
+    """Q6 (5A): encounters and readmissions per patient, HIGH when at least one."""
+    p = dom.patients().select("patient_id")
+    r = patient_encounter_rollup(dom).select("patient_id", "total_encounters", "_flags")
+    j = p.join(r, "patient_id", "left")
+    readm = F.coalesce(F.col("_flags"), F.lit(0)).cast("bigint")
+    return j.select(
+        "patient_id", F.coalesce("total_encounters", F.lit(0)).alias("total_encounters"),
+        readm.alias("readmissions"), F.when(readm >= 1, "HIGH").otherwise("LOW").alias("risk_level"),
+    )
+
+
+# ---------------------------------------------------------------- Q7 (5B) group vs global average
+
+def admission_types_vs_global(dom: Domain, min_count: int = 5) -> DataFrame:
+    """Q7: mean length of stay per admission type against the hospital-wide mean."""
+    e = dom.encounters()
+    glob = e.agg(F.sum("time_in_hospital").alias("_g_sum"), F.count("time_in_hospital").alias("_g_n"))
+    per = e.groupBy("admission_type_name").agg(
+        F.count("encounter_id").alias("encounter_count"),
+        F.sum("time_in_hospital").alias("_sum"), F.count("time_in_hospital").alias("_n"),
+    )
+    j = per.crossJoin(F.broadcast(glob)).where(F.col("encounter_count") > min_count)
+    type_avg = F.col("_sum").cast("double") / F.col("_n")
+    glob_avg = F.col("_g_sum").cast("double") / F.col("_g_n")
+    return j.select(
+        "admission_type_name", "encounter_count",
+        round_ratio("_sum", "_n", 2).alias("type_avg_los"),
+        round_ratio("_g_sum", "_g_n", 2).alias("hospital_avg_los"),
+        F.when(type_avg > glob_avg, "ABOVE AVG").otherwise("BELOW AVG").alias("comparison_status"),
+    ).orderBy(F.desc("type_avg_los"))
+
+
+# ---------------------------------------------------------------- Q8 (5C) providers vs benchmark
+
+UNASSIGNED = "[Unassigned / General Staff]"
+
+
+def provider_stats(dom: Domain) -> DataFrame:
+    """Cases and readmissions per provider name; encounters without a provider form one group.
+
+    encounter LEFT JOIN distinct (encounter, provider) pairs: the join output is already
+    partitioned by encounter, so the distinct needs no second shuffle; the counts are
+    then partially aggregated per provider before the (small) name lookup.
+    """
+    e = dom.encounters().select("encounter_id", "readmitted_flag")
+    li = dom.t.lineitem.select(F.col("l_orderkey").alias("encounter_id"), F.col("l_suppkey").alias("provider_id"))
+    pairs = e.join(li, "encounter_id", "left").dropDuplicates(["encounter_id", "provider_id"])
+    per_id = pairs.groupBy("provider_id").agg(
+        F.count("encounter_id").alias("cases"),
+        F.sum(F.when(F.col("readmitted_flag") == 1, 1).otherwise(0)).alias("readmits"),
+    )
+    named = per_id.join(dom.providers().select("provider_id", "provider_name"), "provider_id", "left")
+    return named.groupBy("provider_name").agg(
+        F.sum("cases").cast("bigint").alias("Total_Cases"),
+        F.sum("readmits").cast("bigint").alias("Readmission_Count"),
+    ).select(F.coalesce("provider_name", F.lit(UNASSIGNED)).alias("Provider_Name"), "Total_Cases",
+             "Readmission_Count")
+
+
+def provider_performance(dom: Domain, top: int = 15) -> DataFrame:
+    """Q8: top providers by caseload with rate, benchmark, status and dense caseload rank.
+
+    The top-``top`` cut is taken first (a distributed top-k); the dense rank of those rows
+    equals their rank among all providers, since every larger caseload is in the cut.
+    """
+    bench = dom.encounters().agg(F.sum("readmitted_flag").alias("_b_sum"), F.count("readmitted_flag").alias("_b_n"))
+    ps = provider_stats(dom)
+    top_rows = ps.orderBy(F.desc("Total_Cases"), F.asc("Provider_Name")).limit(top)
+    j = top_rows.crossJoin(F.broadcast(bench))
+    rate_gt = F.col("Readmission_Count") * F.col("_b_n") > F.col("_b_sum") * F.col("Total_Cases")
+    out = j.select(
+        "Provider_Name", "Total_Cases", "Readmission_Count",
+        round_ratio(F.col("Readmission_Count") * 100, "Total_Cases", 1).alias("Provider_Readmit_Pct"),
+        round_ratio(F.col("_b_sum") * 100, "_b_n", 1).alias("Hospital_Avg_Pct"),
+        F.when(rate_gt, "ABOVE AVG RISK").otherwise("PERFORMING WELL").alias("Performance_Status"),
+    )
+    out = W.add_rank(out, [F.desc("Total_Cases")], "Caseload_Rank", "dense_rank", allow_global=True)
+    return out.orderBy(F.desc("Total_Cases"), "Provider_Name")
+
+
+# ---------------------------------------------------------------- Q11 patient risk profile
+
+def patient_risk_profile(dom: Domain, corrected: bool = False) -> DataFrame:
+    """Q11: patient risk profile, faithful or fan-out-safe.
+
+    The reference joins each encounter to its drugs *and* diagnoses before SUM/AVG, so
+    every encounter counts (drugs x diagnoses) times. ``corrected=False`` reproduces those
+    numbers without building the pairs: each encounter carries its multiplicity
+    ``max(drugs,1) * max(diagnoses,1)`` as a weight. ``corrected=True`` uses weight 1.
+    COUNT(DISTINCT) columns are the same in both forms.
+    """
+    e = dom.encounters()
+    li = dom.t.lineitem.select(F.col("l_orderkey").alias("encounter_id"), "l_partkey", "l_linenumber")
+    lines = li.join(e.select("encounter_id", "patient_id"), "encounter_id", "inner")
+    per_enc = lines.groupBy("encounter_id").agg(F.count_distinct("l_partkey").alias("_d"),
+                                                F.count_distinct("l_linenumber").alias("_g"))
+    per_pat_distinct = lines.groupBy("patient_id").agg(
+        F.count_distinct("l_partkey").alias("unique_drugs"),
+        F.count_distinct("l_linenumber").alias("unique_diagnoses"),
+    )
+    ew = e.join(per_enc, "encounter_id", "left")
+    if corrected:
+        m = F.lit(1)
+    else:
+        m = F.greatest(F.coalesce("_d", F.lit(0)), F.lit(1)) * F.greatest(F.coalesce("_g", F.lit(0)), F.lit(1))
+    cat = F.col("readmitted_category")
+    pe = ew.withColumn("_m", m.cast("bigint")).groupBy("patient_id").agg(
+        F.count_distinct("encounter_id").alias("total_encounters"),
+        F.sum(F.col("_m") * F.col("time_in_hospital")).alias("_los_sum"),
+        F.sum("_m").alias("_los_n"),
+        F.max("encounter_age").alias("latest_age"),
+        F.sum(F.when(cat.isin("<30", ">30"), F.col("_m")).otherwise(0)).alias("total_readmissions"),
+        F.sum(F.when(cat == "<30", F.col("_m")).otherwise(0)).alias("early_readmissions"),
+        F.sum(F.col("_m") * F.col("number_emergency")).alias("total_emergency_visits"),
+        F.sum(F.col("_m") * F.col("number_inpatient")).alias("total_inpatient_visits"),
+    ).where(F.col("total_encounters") > 0)
+    pe = pe.join(per_pat_distinct, "patient_id", "left")
+    p = dom.patients()
+    j = p.join(pe, "patient_id", "inner")
+    early, total = F.col("early_readmissions"), F.col("total_encounters")
+    return j.select(
+        "patient_id",
+        F.when(F.col("race").isNull(), "Unknown").otherwise(F.col("race")).alias("race"),
+        "gender",
+        F.col("latest_age").alias("age"),
+        F.get_json_object("risk_factors", "$.diabetes").alias("has_diabetes"),
+        "total_encounters",
+        round_ratio("_los_sum", "_los_n", 2).alias("avg_los"),
+        F.col("total_readmissions").cast("bigint").alias("total_readmissions"),
+        early.cast("bigint").alias("early_readmissions"),
+        F.coalesce("unique_drugs", F.lit(0)).alias("unique_drugs"),
+        F.coalesce("unique_diagnoses", F.lit(0)).alias("unique_diagnoses"),
+        F.col("total_emergency_visits").cast("bigint").alias("total_emergency_visits"),
+        F.col("total_inpatient_visits").cast("bigint").alias("total_inpatient_visits"),
+        F.when(early > 0, 1).otherwise(0).alias("readmission_30d_binary"),
+        F.when(early >= 2, "Very High Risk").when(early == 1, "High Risk")
+        .when(total >= 3, "Medium Risk").otherwise("Low Risk").alias("risk_category"),
+    )
