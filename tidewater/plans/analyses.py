@@ -305,3 +305,112 @@ def patient_risk_profile(dom: Domain, corrected: bool = False) -> DataFrame:
         F.when(early >= 2, "Very High Risk").when(early == 1, "High Risk")
         .when(total >= 3, "Medium Risk").otherwise("Low Risk").alias("risk_category"),
     )
+
+
+# ---------------------------------------------------------------- Q9 JSON bands after bulk JSON updates
+
+from pyspark.sql import types as T  # noqa: E402
+
+from ..functions.semistructured import json_number, json_set, monograph_fields  # noqa: E402
+from ..operators import changes as C  # noqa: E402
+from ..operators import text_search as X  # noqa: E402
+
+RISK_FACTORS_SCHEMA = T.StructType([
+    T.StructField("diabetes", T.BooleanType()),
+    T.StructField("on_diabetes_medication", T.BooleanType()),
+    T.StructField("a1c_tested", T.BooleanType()),
+    T.StructField("hba1c_last", T.DoubleType()),
+])
+
+# The bulk HbA1c update, last digit of the patient id -> value.
+HBA1C_BY_LAST_DIGIT = {1: 9.5, 2: 7.8, 3: 6.2}
+
+
+def patients_after_hba1c_update(dom: Domain):
+    """``UPDATE patients SET risk_factors = JSON_SET(.., '$.hba1c_last', v) WHERE id % 10 = d``.
+
+    All three statements as one pass; returns (snapshot, audit rows of the patient trigger).
+    """
+    p = dom.patients()
+    digit = F.col("patient_id") % 10
+    value = None
+    for d, v in HBA1C_BY_LAST_DIGIT.items():
+        value = F.when(digit == d, F.lit(v)) if value is None else value.when(digit == d, F.lit(v))
+    tag = F.concat(F.lit("Patient:"), F.col("patient_id").cast("string"))
+    return C.update_where(
+        p, digit.isin(list(HBA1C_BY_LAST_DIGIT)),
+        {"risk_factors": json_set("risk_factors", RISK_FACTORS_SCHEMA, "hba1c_last", value)},
+        audit=C.AuditSpec("patients", "patient_id", old_value=tag, new_value=tag),
+    )
+
+
+def glycemic_bands(dom: Domain) -> DataFrame:
+    """Q9 (5D): HbA1c from the JSON document, banded (> 8.5 poor, 7.0-8.5 borderline)."""
+    snapshot, _ = patients_after_hba1c_update(dom)
+    h = json_number("risk_factors", "$.hba1c_last")
+    return snapshot.select(
+        "patient_id", h.alias("hba1c_last"),
+        F.when(h > 8.5, "POOR CONTROL").when(h.between(7.0, 8.5), "BORDERLINE").otherwise("CONTROLLED")
+        .alias("glycemic_band"),
+    )
+
+
+def patient_update_audit(dom: Domain) -> DataFrame:
+    """Audit rows the patient trigger writes for the bulk JSON update."""
+    _, audit = patients_after_hba1c_update(dom)
+    return audit
+
+
+def event_prop_bands(dom: Domain) -> DataFrame:
+    """F17/F19 on the event stream: numeric JSON property banded, counted per event type."""
+    ev = dom.t.events
+    k = json_number("props", "$.k")
+    band = F.when(k > 66, "HIGH").when(k.between(33, 66), "MEDIUM").otherwise("LOW")
+    return ev.groupBy("event_type", band.alias("k_band")).agg(
+        F.count(F.lit(1)).alias("events"),
+        F.sum(F.col("value").cast("decimal(18,2)")).cast("double").alias("total_value"),
+    )
+
+
+# ---------------------------------------------------------------- Q10 text search, F21 XML
+
+def text_search(dom: Domain, terms=("tion",)) -> DataFrame:
+    """Q10 (5E): documents holding the terms, whole-word and case-insensitive, with relevance."""
+    docs = dom.t.documents.select("doc_id", "lang", "source", "text")
+    hits = X.search(docs, "text", list(terms))
+    return hits.select("doc_id", "lang", "source", *[c for c in hits.columns if c.startswith("tf_")], "relevance") \
+        .orderBy(F.desc("relevance"), "doc_id")
+
+
+def corpus_term_frequencies(dom: Domain) -> DataFrame:
+    """X2 index: term count and document count of every token of the corpus."""
+    return X.document_frequencies(dom.t.documents, "doc_id", "text")
+
+
+def drug_monographs(dom: Domain) -> DataFrame:
+    """the fields of every drug monograph XML document."""
+    return dom.drugs().select("drug_id", "generic_name", *monograph_fields("monograph_xml"))
+
+
+# ---------------------------------------------------------------- D1/D13 encounter and outcome updates
+
+def encounter_los_update(dom: Domain):
+    """D1 + D13: ``SET time_in_hospital = time_in_hospital + 1`` for early readmissions, with audit."""
+    e = dom.encounters()
+    return C.update_where(
+        e, F.col("readmitted_category") == "<30",
+        {"time_in_hospital": F.col("time_in_hospital") + 1},
+        audit=C.AuditSpec("encounters", "encounter_id",
+                          old_value=F.concat(F.lit("LOS:"), F.col("time_in_hospital").cast("string")),
+                          new_value=F.concat(F.lit("LOS:"), F.col("_new_time_in_hospital").cast("string"))),
+    )
+
+
+def outcome_category_update(dom: Domain, fix_flag: bool = False) -> DataFrame:
+    """Urgent 'NO' outcomes become '>30'. The reference left the flag as it was; ``fix_flag`` keeps it consistent."""
+    o = dom.encounters().select("encounter_id", "admission_type_name", "readmitted_category", "readmitted_flag")
+    pred = (F.col("readmitted_category") == "NO") & (F.col("admission_type_name") == "1-URGENT")
+    sets = {"readmitted_category": F.lit(">30")}
+    if fix_flag:
+        sets["readmitted_flag"] = F.lit(0)
+    return C.update_where(o, pred, sets).drop("admission_type_name")
