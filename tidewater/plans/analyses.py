@@ -414,3 +414,87 @@ def outcome_category_update(dom: Domain, fix_flag: bool = False) -> DataFrame:
     if fix_flag:
         sets["readmitted_flag"] = F.lit(0)
     return C.update_where(o, pred, sets).drop("admission_type_name")
+
+
+# ---------------------------------------------------------------- D3-D6 deletes with reference actions
+
+def _removed_orders(dom: Domain):
+    o = dom.t.orders
+    return C.deleted_keys(o, (F.col("o_orderstatus") == "P") & (F.col("o_orderpriority") == "5-LOW"), "o_orderkey")
+
+
+def cascade_delete_summary(dom: Domain) -> DataFrame:
+    """D3 + D4: delete low-priority pending orders; their lines go with them (cascade)."""
+    li = dom.t.lineitem
+    kept = C.cascade_delete(li, "l_orderkey", _removed_orders(dom), "o_orderkey")
+    return kept.groupBy("l_returnflag", "l_linestatus").agg(
+        F.count(F.lit(1)).alias("lines_left"),
+        F.sum(F.col("l_quantity").cast("decimal(18,2)")).cast("double").alias("quantity_left"),
+    )
+
+
+def set_null_delete_summary(dom: Domain) -> DataFrame:
+    """Delete the suppliers of one nation; lines keep existing with a null supplier."""
+    s = dom.t.supplier
+    gone = C.deleted_keys(s, F.col("s_nationkey") == 7, "s_suppkey")
+    li = dom.t.lineitem.select("l_orderkey", "l_linenumber", "l_suppkey", "l_returnflag")
+    out = C.set_null_on_delete(li, "l_suppkey", gone, "s_suppkey")
+    return out.groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("lines"),
+                                           F.count_if(F.col("l_suppkey").isNull()).alias("lines_without_supplier"))
+
+
+def restrict_delete_violations(dom: Domain) -> DataFrame:
+    """Customers of a segment with negative balance cannot go while orders reference them."""
+    c = dom.t.customer
+    gone = C.deleted_keys(c, (F.col("c_mktsegment") == "AUTOMOBILE") & (F.col("c_acctbal") < 0), "c_custkey")
+    blocking = C.restrict_violations(dom.t.orders, "o_custkey", gone, "c_custkey")
+    return blocking.groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count(F.lit(1)).alias("blocking_orders"))
+
+
+def orders_lines_one_to_one(dom: Domain) -> DataFrame:
+    """Orders vs the orders named by lineitem -- counts and keys missing on either side."""
+    lines = dom.t.lineitem.select("l_orderkey").distinct()
+    return C.one_to_one_check(dom.t.orders, "o_orderkey", lines, "l_orderkey")
+
+
+# ---------------------------------------------------------------- D7-D11, A31, A32 audits
+
+from ..operators import quality as QA  # noqa: E402
+
+STAR_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
+
+
+def constraint_audit(dom: Domain) -> DataFrame:
+    """Every declared rule of the star schema tables, violations counted."""
+    tables = {n: getattr(dom.t, n) for n in STAR_TABLES}
+    return QA.constraint_audit(tables)
+
+
+def duplicate_line_keys(dom: Domain) -> DataFrame:
+    """(order, line number) pairs that occur more than once."""
+    return QA.key_audit(dom.t.lineitem, ["l_orderkey", "l_linenumber"])
+
+
+def table_inventory(dom: Domain) -> DataFrame:
+    """Row count and size class of every driver table."""
+    from ..sources.tables import TABLE_NAMES
+    return QA.table_inventory({n: getattr(dom.t, n) for n in TABLE_NAMES})
+
+
+def requirement_dashboard(dom: Domain) -> DataFrame:
+    """Requirements measured on the data, status computed against the threshold."""
+    def cnt(df):
+        return df.agg(F.count(F.lit(1)).alias("value"))
+
+    e = dom.encounters()
+    return QA.requirement_dashboard([
+        ("patients", cnt(dom.patients()), 200),
+        ("encounters", cnt(e), 200),
+        ("early_readmissions", cnt(e.where(F.col("readmitted_category") == "<30")), 20),
+        ("drug_links", cnt(dom.encounter_drugs()), 200),
+        ("diagnosis_links", cnt(dom.encounter_diagnoses()), 500),
+        ("provider_links", cnt(dom.encounter_providers()), 200),
+        ("patients_with_hba1c", cnt(patients_after_hba1c_update(dom)[0]
+                                    .where(json_number("risk_factors", "$.hba1c_last").isNotNull())), 60),
+        ("orphan_encounters", cnt(dom.encounters().join(dom.patients(), "patient_id", "left_anti")), 0),
+    ])
