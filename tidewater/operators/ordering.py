@@ -11,6 +11,9 @@ shuffle instead:
 3. per-(task, group) row counts form a table of about #tasks + #groups rows; a
    running sum over it gives each slice its starting offset.
 
+The range-sorted copy is pinned with a reliable checkpoint (the shared checkpoint
+folder), so the counts and the rows always come from the same partitions.
+
 Exact quantiles, exact-size samples, global ranks and surrogate keys all use it.
 """
 
@@ -22,6 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expressions import col
+from ..session import cut_lineage
 
 _PID, _LOCAL, _BASE, _GROUP_N = "_tw_pid", "_tw_local", "_tw_base", "_tw_group_n"
 
@@ -32,42 +36,61 @@ def _partitions(df: DataFrame, num_partitions: int | None) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def _range_sorted(df: DataFrame, keys: list[Column], num_partitions: int | None) -> DataFrame:
+    """Range-partition and sort once, and pin the result with a reliable checkpoint.
+
+    The range bounds come from sampling the input; an input whose row order can change
+    between evaluations (any shuffle output) would get other bounds on a second
+    evaluation. Both the counting side and the row side therefore read one materialised
+    copy in the shared checkpoint folder, which also survives executor loss.
+    """
+    ranged = df.repartitionByRange(_partitions(df, num_partitions), *keys).sortWithinPartitions(*keys)
+    pinned = cut_lineage(ranged)
+    return (pinned.withColumn(_PID, F.spark_partition_id())
+            .withColumn(_LOCAL, F.monotonically_increasing_id() - F.shiftleft(F.col(_PID).cast("long"), 33)))
+
+
 def global_positions(df: DataFrame, order_by: Sequence[str | Column], by: Sequence[str] = (),
                      pos_col: str = "_pos", count_col: str | None = None,
-                     num_partitions: int | None = None, offsets_bounded: bool | None = None) -> DataFrame:
+                     num_partitions: int | None = None, offsets_bounded: bool | None = None,
+                     weight: str | None = None) -> DataFrame:
     """Add the 1-based position of each row in ``order_by`` order within its ``by`` group.
 
     Equals ``row_number() OVER (PARTITION BY by ORDER BY order_by)``. The order should be
     total (end it with a unique key) when rows that tie differ in other columns.
-    ``count_col`` also adds the group size. The offset table is broadcast when it is
-    provably small (no ``by``: one row per task); with ``by`` the planner decides.
+    ``count_col`` also adds the group size. With ``weight`` each row stands for that many
+    rows: ``pos_col`` is the last position it covers and ``pos_col + '_start'`` the first.
+    The offset table is broadcast when it is provably small (no ``by``: one row per task);
+    with ``by`` the planner decides by its measured size.
     """
     by = list(by)
     keys = [*[F.col(b) for b in by], *[col(o) for o in order_by]]
-    ranged = (
-        df.repartitionByRange(_partitions(df, num_partitions), *keys)
-        .sortWithinPartitions(*keys)
-        .withColumn(_PID, F.spark_partition_id())
-        .withColumn(_LOCAL, F.monotonically_increasing_id() - F.shiftleft(F.col(_PID).cast("long"), 33))
-    )
-    stats = ranged.groupBy(_PID, *by).agg(F.count(F.lit(1)).alias("_n"), F.min(_LOCAL).alias("_first"))
+    ranged = _range_sorted(df, keys, num_partitions)
+    w = F.col(weight) if weight else F.lit(1)
+    stats = ranged.groupBy(_PID, *by).agg(F.sum(w).alias("_n"), F.min(_LOCAL).alias("_first"))
     order = Window.partitionBy(*by).orderBy(_PID) if by else Window.orderBy(_PID)
     whole = Window.partitionBy(*by) if by else Window.partitionBy()
     offsets = stats.select(
         _PID,
         *by,
-        (F.coalesce(F.sum("_n").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) - F.col("_first"))
-        .alias(_BASE),
+        F.coalesce(F.sum("_n").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_prior"),
+        F.col("_first"),
         F.sum("_n").over(whole).alias(_GROUP_N),
     )
     bounded = offsets_bounded if offsets_bounded is not None else not by
     if bounded:
         offsets = F.broadcast(offsets)
     out = ranged.join(offsets, on=[_PID, *by], how="inner")
-    out = out.withColumn(pos_col, F.col(_BASE) + F.col(_LOCAL) + 1)
+    if weight:
+        # running weight inside the slice; the slice is one task's share of one group
+        run = Window.partitionBy(_PID, *by).orderBy(_LOCAL).rowsBetween(Window.unboundedPreceding, 0)
+        out = out.withColumn(pos_col, F.col("_prior") + F.sum(weight).over(run))
+        out = out.withColumn(pos_col + "_start", F.col(pos_col) - F.col(weight) + 1)
+    else:
+        out = out.withColumn(pos_col, F.col("_prior") + F.col(_LOCAL) - F.col("_first") + 1)
     if count_col:
         out = out.withColumnRenamed(_GROUP_N, count_col)
-    return out.drop(_PID, _LOCAL, _BASE, _GROUP_N)
+    return out.drop(_PID, _LOCAL, "_prior", "_first", _GROUP_N)
 
 
 def exact_quantiles(df: DataFrame, value: str, quantiles: dict[str, float], by: Sequence[str] = (),
@@ -75,22 +98,26 @@ def exact_quantiles(df: DataFrame, value: str, quantiles: dict[str, float], by:
     """Exact quantiles with linear interpolation (``quantile_cont`` / numpy default).
 
     Nulls are skipped. Returns one row per group (one row when ``by`` is empty) with a
-    column per requested quantile. No group is collected into one buffer: values are
-    range-shuffled and only the rows at the needed positions are kept.
+    column per requested quantile. Values are first counted per (group, value) with a
+    partial aggregate -- a value held by a third of the rows becomes one row -- then the
+    distinct values get cumulative positions and only the rows at the needed positions
+    are kept. No group is gathered into one buffer or one task.
     """
     by = list(by)
-    vals = df.select(*by, F.col(value).alias("_v")).where(F.col("_v").isNotNull())
-    pos = global_positions(vals, ["_v"], by, pos_col="_p", count_col="_n", num_partitions=num_partitions)
+    vals = (df.select(*by, F.col(value).alias("_v")).where(F.col("_v").isNotNull())
+            .groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_w")))
+    pos = global_positions(vals, ["_v"], by, pos_col="_p", count_col="_n", num_partitions=num_partitions, weight="_w")
+    covers = lambda t: (F.col("_p_start") <= t) & (F.col("_p") >= t)
     wanted = None
     picks = []
     for name, q in quantiles.items():
         rn = (F.col("_n") - 1).cast("double") * F.lit(float(q))
         lo, hi = F.floor(rn) + 1, F.ceil(rn) + 1
-        cond = (F.col("_p") == lo) | (F.col("_p") == hi)
+        cond = covers(lo) | covers(hi)
         wanted = cond if wanted is None else (wanted | cond)
         picks += [
-            F.max(F.when(F.col("_p") == lo, F.col("_v"))).alias(f"_lo_{name}"),
-            F.max(F.when(F.col("_p") == hi, F.col("_v"))).alias(f"_hi_{name}"),
+            F.max(F.when(covers(lo), F.col("_v"))).alias(f"_lo_{name}"),
+            F.max(F.when(covers(hi), F.col("_v"))).alias(f"_hi_{name}"),
             F.max(rn - F.floor(rn)).alias(f"_d_{name}"),
         ]
     agg = pos.where(wanted).groupBy(*by).agg(F.max("_n").alias("_n"), *picks)
@@ -99,13 +126,13 @@ def exact_quantiles(df: DataFrame, value: str, quantiles: dict[str, float], by:
         for name in quantiles
     ]
     if count_col:
-        outs.append(F.col("_n").alias(count_col))
+        outs.append(F.col("_n").cast("bigint").alias(count_col))
     result = agg.select(*by, *outs)
     if not by:
         # a global quantile of an empty input is one row of nulls, like an aggregate
         empty = df.sparkSession.range(1).select(*[F.lit(None).cast("double").alias(n) for n in quantiles])
         if count_col:
-            empty = empty.withColumn(count_col, F.lit(0).cast("bigint"))
+            empty = empty.withColumn(count_col, F.lit(None).cast("bigint"))
         result = result.unionByName(empty).agg(*[F.max(c).alias(c) for c in result.columns])
     return result
 

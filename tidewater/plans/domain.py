@@ -115,6 +115,28 @@ class Domain:
                                     F.col("n_name").alias("specialty_name")))
 
 
+def indicators(dom: "Domain") -> DataFrame:
+    """Country indicators, one observation per order: country of the customer, year of the order.
+
+    Missing values are planted on fixed key patterns so the pandas null rules are exercised.
+    """
+    o, c, n = dom.t.orders, dom.t.customer, dom.t.nation
+    j = o.join(c.select("c_custkey", "c_nationkey"), o.o_custkey == c.c_custkey, "inner") \
+        .join(F.broadcast(n.select("n_nationkey", "n_name")), F.col("c_nationkey") == F.col("n_nationkey"), "inner")
+    k, ck = F.col("o_orderkey"), F.col("o_custkey")
+    return j.select(
+        k.alias("obs_id"),
+        F.col("n_name").alias("Country"),
+        F.year("o_orderdate").alias("Year"),
+        F.when(k % 11 == 3, None).otherwise(F.lit(40) + ((k * 7 + ck) % 4500) / F.lit(100.0)).alias("LifeExpectancy"),
+        F.when(k % 13 == 5, None).otherwise(F.col("o_totalprice") / F.lit(10.0)).alias("GDPperCapita"),
+        ((k % 17) - 5).cast("double").alias("GDPGrowth"),
+        F.when(ck % 7 == 0, None).otherwise((k % 15).cast("double")).alias("HealthExpenditure"),
+        F.when(k % 19 == 4, None).otherwise((ck % 50 + 50).cast("double")).alias("LiteracyRate"),
+        (F.col("o_totalprice") * 1000).alias("Population"),
+    )
+
+
 def risk_band(size):
     return F.when(size > 40, "HIGH").when(size > 20, "MEDIUM").otherwise("LOW")
 
@@ -165,6 +187,16 @@ SQL_VIEWS = {
         FROM part""",
     "providers": "SELECT s_suppkey AS provider_id, s_name AS provider_name, s_nationkey AS specialty_id FROM supplier",
     "medical_specialties": "SELECT n_nationkey AS medical_specialty_id, n_name AS specialty_name FROM nation",
+    "indicators": """
+        SELECT o_orderkey AS obs_id, n_name AS Country, CAST(year(o_orderdate) AS INTEGER) AS Year,
+               CASE WHEN o_orderkey % 11 = 3 THEN NULL
+                    ELSE 40 + ((o_orderkey * 7 + o_custkey) % 4500) / CAST(100 AS DOUBLE) END AS LifeExpectancy,
+               CASE WHEN o_orderkey % 13 = 5 THEN NULL ELSE o_totalprice / CAST(10 AS DOUBLE) END AS GDPperCapita,
+               CAST(o_orderkey % 17 - 5 AS DOUBLE) AS GDPGrowth,
+               CASE WHEN o_custkey % 7 = 0 THEN NULL ELSE CAST(o_orderkey % 15 AS DOUBLE) END AS HealthExpenditure,
+               CASE WHEN o_orderkey % 19 = 4 THEN NULL ELSE CAST(o_custkey % 50 + 50 AS DOUBLE) END AS LiteracyRate,
+               o_totalprice * 1000 AS Population
+        FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey""",
 }
 
 _DEPENDS = {"outcomes": ["encounters"]}
