@@ -498,3 +498,62 @@ def requirement_dashboard(dom: Domain) -> DataFrame:
                                     .where(json_number("risk_factors", "$.hba1c_last").isNotNull())), 60),
         ("orphan_encounters", cnt(dom.encounters().join(dom.patients(), "patient_id", "left_anti")), 0),
     ])
+
+
+# ---------------------------------------------------------------- M13, M16, M17, M20, M21, M24 on the patient datasets
+
+def readmission_classifier(dom: Domain, model: str = "forest"):
+    """30-day readmission from utilisation features; stratified 70/30 split (seed 42).
+
+    Returns test predictions with ``label``, ``prediction`` and the class-1 ``score``.
+    """
+    from ..operators import features as FE
+    from ..operators import models as MD
+    from ..session import cut_lineage
+    cols = ["total_encounters", "avg_los", "unique_drugs", "unique_diagnoses", "total_emergency_visits",
+            "total_inpatient_visits"]
+    cls = patient_risk_profile(dom).select("patient_id", *[F.col(c).cast("double").alias(c) for c in cols],
+                                           F.col("readmission_30d_binary").cast("double").alias("label"))
+    cls = cls.fillna(0.0, cols)
+    split = cut_lineage(FE.assemble(FE.stratified_label(cls, "patient_id", "label", 0.7, 42), cols, "label"))
+    est = {"forest": MD.random_forest_classifier(100, 10, 42), "logistic": MD.logistic_regression(),
+           "tree": MD.decision_tree(), "gbt": MD.gradient_boosting_classifier()}[model]
+    fitted = est.fit(split.where(F.col("split") == "train"))
+    pred = MD.positive_score(fitted.transform(split.where(F.col("split") == "test")))
+    return pred.select("patient_id", "label", "prediction", "score"), fitted, cols
+
+
+def readmission_report(dom: Domain, model: str = "forest") -> DataFrame:
+    """Classification report of the readmission classifier on the test split."""
+    from ..operators.evaluation import classification_report
+    pred, _, _ = readmission_classifier(dom, model)
+    return classification_report(pred)
+
+
+def readmission_confusion_auc(dom: Domain) -> DataFrame:
+    """Confusion matrix cells plus the exact ROC-AUC of the forest's scores."""
+    from ..operators.evaluation import confusion_matrix, roc_auc
+    pred, _, _ = readmission_classifier(dom)
+    cm = confusion_matrix(pred)
+    auc = roc_auc(pred)
+    return cm.crossJoin(auc)
+
+
+def readmission_importances(dom: Domain) -> DataFrame:
+    """Importances of the readmission forest."""
+    from ..operators.evaluation import feature_importances
+    _, fitted, cols = readmission_classifier(dom)
+    return feature_importances(fitted, cols)
+
+
+def patient_clusters(dom: Domain, k: int = 4) -> DataFrame:
+    """K-means on the patient risk dataset; cluster sizes, centres and silhouette."""
+    from ..operators import features as FE
+    from ..operators import models as MD
+    cols = ["total_encounters", "avg_length_of_stay", "total_readmissions"]
+    data = patient_risk_view(dom).select("patient_id", *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c)
+                                                           for c in cols])
+    model, pred, silhouette = MD.kmeans_clusters(FE.assemble(data, cols, "none"), k)
+    return pred.groupBy(F.col("prediction").alias("cluster")).agg(
+        F.count(F.lit(1)).alias("patients"), *[F.avg(c).alias(f"mean_{c}") for c in cols]
+    ).withColumn("silhouette", F.lit(float(silhouette)))
