@@ -155,3 +155,13 @@ def cap_at(c: str | Column, cap: Column) -> Column:
 def millions(c: str | Column) -> Column:
     """F23."""
     return col(c) / F.lit(1_000_000.0)
+
+
+def corr_safe(a: str | Column, b: str | Column) -> Column:
+    """Pearson correlation over rows where both values exist; null (not an error) for a constant side.
+
+    ``corr`` divides by zero on a constant column when ANSI mode is on (the default).
+    """
+    both = col(a).isNotNull() & col(b).isNotNull()
+    x, y = F.when(both, col(a).cast("double")), F.when(both, col(b).cast("double"))
+    return F.covar_samp(x, y) / F.nullif(F.stddev_samp(x) * F.stddev_samp(y), F.lit(0.0))

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.expressions import col, round_ratio
+from ..functions.expressions import col, corr_safe, round_ratio
 from .ordering import exact_quantiles
 
 
@@ -103,7 +103,7 @@ def corr_matrix(df: DataFrame, columns: Sequence[str], digits: int = 6) -> DataF
     null, like pandas). The diagonal is 1 unless the column is constant (then null).
     """
     pairs = [(a, b) for a in columns for b in columns]
-    row = df.agg(*[F.corr(a, b).alias(f"{i}") for i, (a, b) in enumerate(pairs)])
+    row = df.agg(*[corr_safe(a, b).alias(f"{i}") for i, (a, b) in enumerate(pairs)])
     stacked = row.select(F.explode(F.array(*[
         F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"{i}").alias("r"))
         for i, (a, b) in enumerate(pairs)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.expressions import decade_label, round_ratio, three_way_category
+from ..functions.expressions import corr_safe, decade_label, round_ratio, three_way_category
 from ..operators import aggregates as A
 from ..operators.ordering import exact_quantiles, global_positions
 from .analyses import patient_risk_profile
@@ -188,7 +188,7 @@ def q15_life_stats(dom: Domain) -> DataFrame:
     base = df.agg(F.min("LifeExpectancy").alias("min"), F.max("LifeExpectancy").alias("max"),
                   exact_mean("LifeExpectancy", 2).alias("mean"),
                   (F.max("LifeExpectancy") - F.min("LifeExpectancy")).alias("range"),
-                  F.round(F.corr("GDPperCapita", "LifeExpectancy"), 6).alias("corr_gdp_life"))
+                  F.round(corr_safe("GDPperCapita", "LifeExpectancy"), 6).alias("corr_gdp_life"))
     qs = exact_quantiles(df, "LifeExpectancy", {"p25": 0.25, "p50": 0.5, "p75": 0.75})
     return base.crossJoin(qs).select("min", "max", F.round("mean", 6).alias("mean"), F.round("range", 6).alias("range"),
                                      *[F.round(c, 6).alias(c) for c in ("p25", "p50", "p75")], "corr_gdp_life")
