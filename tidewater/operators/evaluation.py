@@ -38,8 +38,8 @@ def classification_report(pred: DataFrame, label: str = "label", prediction: str
 
     All from the (label, prediction) count table, whose size is classes^2.
     """
-    cm = pred.groupBy(F.col(label).cast("string").alias("y"), F.col(prediction).cast("double").cast("int")
-                      .cast("string").alias("p")).agg(F.count(F.lit(1)).alias("c"))
+    as_class = lambda c: F.col(c).cast("double").cast("int").cast("string")  # noqa: E731 -- 1, 1.0 -> "1"
+    cm = pred.groupBy(as_class(label).alias("y"), as_class(prediction).alias("p")).agg(F.count(F.lit(1)).alias("c"))
     tp = cm.where(F.col("y") == F.col("p")).select(F.col("y").alias("cls"), F.col("c").alias("tp"))
     sup = cm.groupBy(F.col("y").alias("cls")).agg(F.sum("c").alias("support"))
     pc = cm.groupBy(F.col("p").alias("cls")).agg(F.sum("c").alias("predicted"))
