@@ -60,21 +60,24 @@ def share_of_total(df: DataFrame, count_col: str, out: str = "share") -> DataFra
 def describe(df: DataFrame, columns: Sequence[str], digits: int = 6) -> DataFrame:
     """Pandas ``describe()`` in long form, one row per column.
 
-    count, mean, std (sample), min, 25%, 50%, 75% (linear interpolation), max. All
-    columns are stacked into (column, value) so one range shuffle serves every quantile.
+    count, mean, std (sample), min, 25%, 50%, 75% (linear interpolation), max. The columns
+    are stacked into (column, value) and counted per distinct value once; that narrow table
+    is pinned and serves the moments and every quantile, so the input is read once.
     """
-    stacked = unpivot_numeric(df, columns)
-    moments = stacked.groupBy("column").agg(
-        F.count("value").alias("count"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-    )
-    qs = exact_quantiles(stacked, "value", {"p25": 0.25, "p50": 0.5, "p75": 0.75}, by=["column"])
-    out = moments.join(qs, "column", "left")
+    from ..session import cut_lineage
+    stacked = unpivot_numeric(df, columns).where(F.col("value").isNotNull())
+    counts = cut_lineage(stacked.groupBy("column", "value").agg(F.count(F.lit(1)).alias("_w")))
+    w, v = F.col("_w"), F.col("value")
+    first = counts.groupBy("column").agg(F.sum(w).alias("count"), (F.sum(v * w) / F.sum(w)).alias("mean"),
+                                         F.min(v).alias("min"), F.max(v).alias("max"))
+    spread = counts.join(first.select("column", "mean", "count"), "column").groupBy("column").agg(
+        F.sqrt(F.sum(w * (v - F.col("mean")) * (v - F.col("mean"))) / F.nullif(F.first("count") - 1, F.lit(0)))
+        .alias("std"))
+    qs = exact_quantiles(counts, "value", {"p25": 0.25, "p50": 0.5, "p75": 0.75}, by=["column"], weight="_w")
+    names = df.sparkSession.createDataFrame([(c,) for c in columns], "column string")
+    out = F.broadcast(names).join(first, "column", "left").join(spread, "column", "left").join(qs, "column", "left")
     return out.select(
-        "column", "count",
+        "column", F.coalesce("count", F.lit(0)).cast("bigint").alias("count"),
         *[F.round(c, digits).alias(c) for c in ("mean", "std", "min", "p25", "p50", "p75", "max")],
     )
 

@@ -94,18 +94,23 @@ def global_positions(df: DataFrame, order_by: Sequence[str | Column], by: Sequen
 
 
 def exact_quantiles(df: DataFrame, value: str, quantiles: dict[str, float], by: Sequence[str] = (),
-                    count_col: str | None = None, num_partitions: int | None = None) -> DataFrame:
+                    count_col: str | None = None, num_partitions: int | None = None,
+                    weight: str | None = None) -> DataFrame:
     """Exact quantiles with linear interpolation (``quantile_cont`` / numpy default).
 
     Nulls are skipped. Returns one row per group (one row when ``by`` is empty) with a
     column per requested quantile. Values are first counted per (group, value) with a
     partial aggregate -- a value held by a third of the rows becomes one row -- then the
     distinct values get cumulative positions and only the rows at the needed positions
-    are kept. No group is gathered into one buffer or one task.
+    are kept. No group is gathered into one buffer or one task. ``weight`` names a count
+    column when ``df`` is already counted per (group, value).
     """
     by = list(by)
-    vals = (df.select(*by, F.col(value).alias("_v")).where(F.col("_v").isNotNull())
-            .groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_w")))
+    if weight:
+        vals = df.select(*by, F.col(value).alias("_v"), F.col(weight).alias("_w")).where(F.col("_v").isNotNull())
+    else:
+        vals = (df.select(*by, F.col(value).alias("_v")).where(F.col("_v").isNotNull())
+                .groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_w")))
     pos = global_positions(vals, ["_v"], by, pos_col="_p", count_col="_n", num_partitions=num_partitions, weight="_w")
     covers = lambda t: (F.col("_p_start") <= t) & (F.col("_p") >= t)
     wanted = None

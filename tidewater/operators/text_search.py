@@ -28,14 +28,25 @@ def tokens(text: str | Column) -> Column:
 
 
 def term_count(text: str | Column, term: str) -> Column:
+    """Occurrences of ``term`` as a whole token: not preceded or followed by a token character.
+
+    Same count as splitting into tokens and comparing, without building the token array.
+    """
     t = term.lower()
-    return F.size(F.filter(tokens(text), lambda x: x == F.lit(t)))
+    if not t or not all(ch.isalnum() or ch == "_" for ch in t):
+        raise ValueError("a search term is one token: letters, digits or underscore")
+    pattern = r"(?<![\p{L}\p{N}_])" + t + r"(?![\p{L}\p{N}_])"
+    return F.regexp_count(F.lower(col(text)), F.lit(pattern))
 
 
 def search(df: DataFrame, text_col: str, terms: Sequence[str], digits: int = 6) -> DataFrame:
     """X1 + X2: rows holding at least one term, with per-term counts and relevance."""
+    from ..session import cut_lineage
     terms = [t.lower() for t in terms]
-    counted = df.select("*", *[term_count(text_col, t).alias(f"tf_{i}") for i, t in enumerate(terms)])
+    # per-document counts are narrow (no text): pin them once, so the corpus statistics and
+    # the matching rows do not each scan and tokenise the whole corpus
+    keep = [c for c in df.columns if c != text_col]
+    counted = cut_lineage(df.select(*keep, *[term_count(text_col, t).alias(f"tf_{i}") for i, t in enumerate(terms)]))
     stats = counted.agg(F.count(F.lit(1)).alias("_N"),
                         *[F.count_if(F.col(f"tf_{i}") > 0).alias(f"df_{i}") for i in range(len(terms))])
     j = counted.where(F.greatest(*[F.col(f"tf_{i}") for i in range(len(terms))], F.lit(0)) > 0) \
