@@ -23,7 +23,7 @@ def generated_rows(spark: SparkSession, start: int, end_inclusive: int, **column
 
 
 def resolve_natural_keys(rows: DataFrame, lookup: DataFrame, natural_key: str, surrogate_key: str,
-                         row_key: str | None = None) -> tuple[DataFrame, DataFrame]:
+                         row_key: str | None = None, carry: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
     """Replace a natural key by the surrogate key of a lookup table.
 
     One equi-join instead of a per-row subquery. Returns (resolved, unresolved);
@@ -31,9 +31,9 @@ def resolve_natural_keys(rows: DataFrame, lookup: DataFrame, natural_key: str, s
     The join strategy is left to the planner: AQE broadcasts the lookup when its
     measured size is under the threshold and sort-merges otherwise.
     """
-    keys = lookup.select(F.col(natural_key), F.col(surrogate_key))
+    keys = lookup.select(F.col(natural_key), F.col(surrogate_key), *carry)
     resolved = rows.join(keys, on=natural_key, how="inner")
-    unresolved = rows.join(keys, on=natural_key, how="left_anti")
+    unresolved = rows.join(keys.select(natural_key), on=natural_key, how="left_anti")
     if row_key is not None:
         resolved = resolved.drop(natural_key)
     return resolved, unresolved
