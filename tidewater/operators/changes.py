@@ -122,8 +122,10 @@ def assert_allowed(violations: DataFrame) -> None:
 
 def fill_defaults(df: DataFrame, defaults: dict[str, object]) -> DataFrame:
     """Column DEFAULTs for missing values (``CURRENT_TIMESTAMP`` via a Column)."""
-    return df.select(*[F.coalesce(F.col(c), d if isinstance(d, Column) else F.lit(d)).alias(c)
-                       if c in defaults else F.col(c) for c in df.columns])
+    def default(v):
+        return v if isinstance(v, Column) else F.lit(v)
+    return df.select(*[F.coalesce(F.col(c), default(defaults[c])).alias(c) if c in defaults else F.col(c)
+                       for c in df.columns])
 
 
 def insert_rows(table: DataFrame, rows: DataFrame) -> DataFrame:

@@ -210,13 +210,19 @@ UNASSIGNED = "[Unassigned / General Staff]"
 def provider_stats(dom: Domain) -> DataFrame:
     """Cases and readmissions per provider name; encounters without a provider form one group.
 
-    encounter LEFT JOIN distinct (encounter, provider) pairs: the join output is already
-    partitioned by encounter, so the distinct needs no second shuffle; the counts are
-    then partially aggregated per provider before the (small) name lookup.
+    Counts are partially aggregated per provider id before the name lookup (one row per
+    provider), so the lookup join is 1:1.
     """
     e = dom.encounters().select("encounter_id", "readmitted_flag")
+    # distinct pairs first: partial aggregation collapses a hot order's lines before any shuffle
     li = dom.t.lineitem.select(F.col("l_orderkey").alias("encounter_id"), F.col("l_suppkey").alias("provider_id"))
-    pairs = e.join(li, "encounter_id", "left").dropDuplicates(["encounter_id", "provider_id"])
+    links = li.distinct()
+    # = encounters LEFT JOIN links, written as inner join (the large side on the left, where AQE can split a
+    # skewed key) plus the encounters without any link (anti-join against distinct keys)
+    assigned = links.join(e, "encounter_id", "inner")
+    unassigned = e.join(links.select("encounter_id").distinct(), "encounter_id", "left_anti") \
+        .withColumn("provider_id", F.lit(None).cast("bigint"))
+    pairs = assigned.unionByName(unassigned)
     per_id = pairs.groupBy("provider_id").agg(
         F.count("encounter_id").alias("cases"),
         F.sum(F.when(F.col("readmitted_flag") == 1, 1).otherwise(0)).alias("readmits"),

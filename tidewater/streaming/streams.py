@@ -86,9 +86,11 @@ def _snapshot_before(spark: SparkSession, snapshot_root: str, batch_id: int, sch
         versions = spark.read.parquet(snapshot_root)
     except AnalysisException:  # no version written yet
         return spark.createDataFrame([], schema)
-    older = versions.where(F.col("batch_id") < batch_id)
-    newest = older.agg(F.max("batch_id").alias("_b"))
-    return older.join(F.broadcast(newest), F.col("batch_id") == F.col("_b")).drop("_b", "batch_id")
+    # one scalar per micro-batch: the newest older version, then a partition-pruned read of it
+    newest = versions.where(F.col("batch_id") < batch_id).agg(F.max("batch_id")).first()[0]
+    if newest is None:
+        return spark.createDataFrame([], schema)
+    return versions.where(F.col("batch_id") == newest).drop("batch_id")
 
 
 def _write_version(df: DataFrame, root: str, batch_id: int) -> None:
