@@ -21,6 +21,8 @@ LOCAL_DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # checkpoint files of frames that are gone are removed (pinned copies are per query)
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # Scans read only the columns a plan touches; the files are small row groups.
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
 }
@@ -41,8 +43,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
-    ``spark.checkpoint.dir`` is read from the session. Only when it is unset
-    (a bare local test session) is a private folder created.
+    ``spark.checkpoint.dir`` is read from the session. Only a local-mode session without
+    it (a bare test session) gets a private folder; on a cluster a machine-local folder
+    would not survive the loss of an executor, so the setting is required there.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -50,6 +53,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for this cluster")
         configured = tempfile.mkdtemp(prefix="tidewater-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
