@@ -89,3 +89,18 @@ def test_median_fill_and_cap(spark):
     assert sorted(filled) == [1.0, 2.0, 2.0, 100.0]
     capped = sorted(r.x for r in FE.cap_at_quantile(df, "x", 0.5).collect() if r.x is not None)
     assert capped == [1.0, 2.0, 2.0]
+
+
+def test_grid_search_small_grid(planted):
+    train = planted.where("split = 'train'")
+    cv = MD.forest_grid_search(train, trees=(5, 10), depths=(3,), folds=2, parallelism=2)
+    assert len(cv.avgMetrics) == 2 and cv.bestModel.getNumTrees in (5, 10)
+
+
+def test_approx_quantiles_close_to_exact(spark):
+    from tidewater.operators.aggregates import approx_quantiles, distinct_count
+    df = spark.range(0, 10001).select(F.col("id").cast("double").alias("x"))
+    r = approx_quantiles(df, "x", {"med": 0.5}).first()
+    assert abs(r.med - 5000) <= 5
+    n = df.agg(distinct_count("x", approx=True).alias("n")).first().n
+    assert abs(n - 10001) / 10001 < 0.05

@@ -216,3 +216,22 @@ def duplicate_counts(df: DataFrame) -> DataFrame:
     g = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_c"))
     return g.agg(F.sum("_c").alias("rows"), F.count(F.lit(1)).alias("distinct_rows"),
                  (F.sum("_c") - F.count(F.lit(1))).alias("duplicates"))
+
+
+# ---------------------------------------------------------------- approximate forms (scale options)
+
+def approx_quantiles(df: DataFrame, value: str, quantiles: dict[str, float], by: Sequence[str] = (),
+                     accuracy: int = 10_000) -> DataFrame:
+    """A17 fast path: ``percentile_approx`` (relative rank error about 1/accuracy), one pass.
+
+    Use when an exact interpolated quantile is not required; ``exact_quantiles`` otherwise.
+    """
+    names = list(quantiles)
+    arr = F.percentile_approx(value, [float(quantiles[n]) for n in names], accuracy)
+    out = df.groupBy(*by).agg(arr.alias("_q"))
+    return out.select(*by, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
+
+
+def distinct_count(c: str, approx: bool = False, rsd: float = 0.01) -> Column:
+    """A2: exact ``count_distinct`` or HyperLogLog++ ``approx_count_distinct`` (no per-value state)."""
+    return F.approx_count_distinct(c, rsd) if approx else F.count_distinct(c)

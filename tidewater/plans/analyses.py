@@ -567,3 +567,11 @@ def patient_clusters(dom: Domain, k: int = 4) -> DataFrame:
     return pred.groupBy(F.col("prediction").alias("cluster")).agg(
         F.count(F.lit(1)).alias("patients"), *[F.avg(c).alias(f"mean_{c}") for c in cols]
     ).withColumn("silhouette", F.lit(float(silhouette)))
+
+
+def encounter_snapshot_diff(dom: Domain) -> DataFrame:
+    """D13 for changes made elsewhere: compare the encounter snapshot before and after the LOS update."""
+    before = dom.encounters().select("encounter_id", "time_in_hospital", "readmitted_category")
+    after, _ = encounter_los_update(dom)
+    return C.snapshot_diff(before, after.select("encounter_id", "time_in_hospital", "readmitted_category"),
+                           ["encounter_id"], ["time_in_hospital", "readmitted_category"])
