@@ -104,3 +104,12 @@ def test_approx_quantiles_close_to_exact(spark):
     assert abs(r.med - 5000) <= 5
     n = df.agg(distinct_count("x", approx=True).alias("n")).first().n
     assert abs(n - 10001) / 10001 < 0.05
+
+
+def test_residual_table_and_distribution(planted):
+    from tidewater.operators.aggregates import describe, histogram
+    train, test = planted.where("split = 'train'"), planted.where("split = 'test'")
+    res = EV.residuals(MD.linear_regression().fit(train).transform(test))
+    d = describe(res, ["residual"]).first()
+    assert abs(d.mean) < 0.3 and 0.7 < d.std < 1.3
+    assert sum(r["count"] for r in histogram(res, "residual", 10).collect()) == test.count()
