@@ -66,7 +66,7 @@ def electric_entries(t: Tables) -> DataFrame:
 
 def cleaning_counts(t: Tables) -> DataFrame:
     """U5 + P6: duplicate meter rows, and rows removed by the two positivity filters -- one row."""
-    me = meter_entries(t)
+    me = cut_lineage(meter_entries(t))  # read by the duplicate count and by the filters
     dups = duplicate_counts(me).select(F.col("duplicates").alias("duplicate_entries"))
     elec = me.dropDuplicates().where((F.col("meter_type") == "Electric - Grid") & F.col("usage_units").rlike("kWh"))
     e = elec.agg(F.count(F.lit(1)).alias("electric_rows"),
@@ -95,7 +95,8 @@ def feature_table(t: Tables) -> DataFrame:
     filled = FE.median_fill(data, NUMERIC)
     filled = FE.constant_fill(filled, {c: "Unknown" for c in CATEGORICAL})
     capped = FE.cap_at_quantile(filled, "gross_floor_area", 0.99)
-    return capped.withColumn("log_usage_kwh", F.log1p("usage_kwh"))
+    # pinned: splits, encodings and models read the feature table several times
+    return cut_lineage(capped.withColumn("log_usage_kwh", F.log1p("usage_kwh")))
 
 
 def model_frame(t: Tables) -> tuple[DataFrame, list[str]]:

@@ -37,7 +37,9 @@ RISK_CATEGORIES = ("Very High Risk", "High Risk", "Medium Risk", "Low Risk")
 
 
 def _classification(dom: Domain) -> DataFrame:
-    return patient_risk_profile(dom)
+    """The Q11 dataset, pinned: every profile below reads it more than once (bounds, then counts)."""
+    from ..session import cut_lineage
+    return cut_lineage(patient_risk_profile(dom))
 
 
 def q13_describe(dom: Domain) -> DataFrame:
@@ -148,7 +150,8 @@ def q15_counts(dom: Domain) -> DataFrame:
 
 def q15_gdp_categories(dom: Domain) -> DataFrame:
     """Task 6: GDP below the median Low, up to p75 Medium, else (also missing) High; counts."""
-    df = indicators(dom)
+    from ..session import cut_lineage
+    df = cut_lineage(indicators(dom).select("GDPperCapita"))  # read by the quantiles and by the labelling
     cuts = exact_quantiles(df, "GDPperCapita", {"median": 0.5, "p75": 0.75})
     labelled = df.crossJoin(F.broadcast(cuts)).withColumn(
         "GDPCategory", three_way_category("GDPperCapita", F.col("median"), F.col("p75")))
@@ -184,7 +187,8 @@ def q15_life_stats(dom: Domain) -> DataFrame:
     The correlation uses rows where both values exist (the reference dropped missing GDP
     only, which makes the result NaN whenever a life value is missing on a kept row).
     """
-    df = indicators(dom)
+    from ..session import cut_lineage
+    df = cut_lineage(indicators(dom).select("LifeExpectancy", "GDPperCapita"))  # moments + quantiles
     base = df.agg(F.min("LifeExpectancy").alias("min"), F.max("LifeExpectancy").alias("max"),
                   exact_mean("LifeExpectancy", 2).alias("mean"),
                   (F.max("LifeExpectancy") - F.min("LifeExpectancy")).alias("range"),
