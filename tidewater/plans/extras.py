@@ -82,14 +82,17 @@ def monthly_usage(t: Tables) -> DataFrame:
         .select("month", "total_usage", "calendar_month", "mean_usage")
 
 
-def table_previews(t: Tables, rows: int = 3, width: int = 80) -> DataFrame:
-    """U2 + F4: the first rows of several tables (by key) in one frame, text cut to ``width``."""
-    def prev(name, key, text):
-        df = getattr(t, name)
-        return df.orderBy(key).limit(rows).select(F.lit(name).alias("table_name"), F.col(key).cast("bigint").alias("row_key"),
-                                                  F.substring(F.col(text).cast("string"), 1, width).alias("preview"))
-    return prev("documents", "doc_id", "text").unionByName(prev("pages", "page_id", "html")) \
-        .unionByName(prev("conversations", "conv_id", "text")).unionByName(prev("benchmark", "item_id", "text"))
+def field_previews(t: Tables, rows: int = 3, width: int = 80) -> DataFrame:
+    """U2 + F4: evidence rows for the semi-structured fields -- the first ``rows`` JSON risk-factor
+    documents and XML monographs (by key), each cut to ``width`` characters for display."""
+    dom = Domain(t.spark, t.sf_dir)
+
+    def sample(df, field, kind, key, text):
+        return df.orderBy(key).limit(rows).select(
+            F.lit(field).alias("field"), F.lit(kind).alias("type"), F.col(key).cast("bigint").alias("sample_id"),
+            F.substring(F.col(text).cast("string"), 1, width).alias("sample_data"))
+    return sample(dom.patients(), "patients.risk_factors", "JSON", "patient_id", "risk_factors") \
+        .unionByName(sample(dom.drugs(), "drugs.monograph_xml", "XML", "drug_id", "monograph_xml"))
 
 
 def provider_labels(t: Tables) -> DataFrame:
