@@ -80,20 +80,39 @@ def assemble(df: DataFrame, features: Sequence[str], label: str, out: str = "fea
 
 def hash_split(key: str, train_percent: int = 80, seed: int = 42) -> Column:
     """M6: 'train'/'test' from md5(key, seed); the same row lands on the same side at any partitioning."""
-    h = F.md5(F.concat(F.col(key).cast("string"), F.lit(str(seed))))
+    h = hash_order(key, seed)
     bucket = F.pmod(F.conv(F.substring(h, 1, 8), 16, 10).cast("bigint"), F.lit(100))
     return F.when(bucket < train_percent, "train").otherwise("test")
 
 
-def exact_fraction(df: DataFrame, key: str, fraction: float, seed: int, by: Sequence[str] = ()) -> DataFrame:
-    """T5/M7: the round(fraction * n) rows (per group) first in md5(key, seed) order."""
-    ordered = df.withColumn("_h", F.md5(F.concat(F.col(key).cast("string"), F.lit(str(seed)))))
+def hash_order(key: str, seed: int) -> Column:
+    """The order a seeded sample draws rows in: md5 of key and seed."""
+    return F.md5(F.concat(F.col(key).cast("string"), F.lit(str(seed))))
+
+
+def exact_sample(df: DataFrame, key: str, fraction: float | None = None, seed: int = 29, cap: int | None = None,
+                 by: Sequence[str] = ()) -> DataFrame:
+    """Exactly ``round(fraction * n)`` (or ``min(cap, n)``) rows per group, first in hash order.
+
+    Positions come from the range-shuffle helper, so neither the whole input nor a whole
+    group is sorted in one task. The same key and seed give the same rows at any partitioning.
+    """
+    ordered = df.withColumn("_h", hash_order(key, seed))
     pos = global_positions(ordered, ["_h", key], list(by), pos_col="_pos", count_col="_n")
-    pct = round(fraction * 100)
-    k = F.floor((F.col("_n") * pct + 50) / 100)
+    if cap is not None:
+        k = F.least(F.lit(cap), F.col("_n"))
+    else:
+        pct = round(fraction * 100)
+        if abs(fraction * 100 - pct) > 1e-9:
+            raise ValueError("fraction must be a whole percent")
+        k = F.floor((F.col("_n") * pct + 50) / 100)  # round half up, in integers
     return pos.where(F.col("_pos") <= k).drop("_h", "_pos", "_n")
 
 
+def exact_fraction(df: DataFrame, key: str, fraction: float, seed: int, by: Sequence[str] = ()) -> DataFrame:
+    return exact_sample(df, key, fraction=fraction, seed=seed, by=by)
+
+
 def stratified_label(df: DataFrame, key: str, label: str, train_fraction: float = 0.7, seed: int = 42) -> DataFrame:
     """M7: add ``split`` keeping each class's share exactly (per-class exact counts)."""
     train = exact_fraction(df.select(key, label), key, train_fraction, seed, by=[label]).select(key) \

@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from ..functions.expressions import corr_safe, decade_label, round_ratio, three_way_category
 from ..operators import aggregates as A
-from ..operators.ordering import exact_quantiles, global_positions
+from ..operators.features import exact_sample
+from ..operators.ordering import exact_quantiles
 from .analyses import patient_risk_profile
 from .domain import Domain, indicators
 
@@ -215,30 +216,7 @@ def q16_life_change(dom: Domain, first: int = 1995, second: int = 2001, top: int
         .orderBy(F.desc("LifeExp_Change"), "Country").limit(top)
 
 
-# ---------------------------------------------------------------- T5, T6, M6, M7 sampling and splits
-
-def hash_order(key: str, seed: int) -> Column:
-    """The order a seeded sample draws rows in: md5 of key and seed."""
-    return F.md5(F.concat(F.col(key).cast("string"), F.lit(str(seed))))
-
-
-def exact_sample(df: DataFrame, key: str, fraction: float | None = None, seed: int = 29, cap: int | None = None,
-                 by: list[str] | None = None) -> DataFrame:
-    """Exactly ``round(fraction * n)`` (or ``min(cap, n)``) rows per group, chosen by hash order.
-
-    Positions come from the range-shuffle helper, so neither the whole input nor a whole
-    group is sorted in one task. Same key and seed give the same rows at any partitioning.
-    """
-    by = list(by or [])
-    ordered = df.withColumn("_h", hash_order(key, seed))
-    pos = global_positions(ordered, ["_h", key], by, pos_col="_pos", count_col="_n")
-    if cap is not None:
-        k = F.least(F.lit(cap), F.col("_n"))
-    else:
-        pct = int(round(fraction * 100))
-        k = F.floor((F.col("_n") * pct + 50) / 100) if abs(fraction * 100 - pct) < 1e-9 else F.round(F.col("_n") * fraction)
-    return pos.where(F.col("_pos") <= k).drop("_h", "_pos", "_n")
-
+# ---------------------------------------------------------------- T5, T6, M7 sampling and splits
 
 def q15_sample(dom: Domain) -> DataFrame:
     """WDI sampling step: 15 % of the observations, seed 29."""
@@ -257,9 +235,3 @@ def stratified_split(dom: Domain, train_fraction: float = 0.7, seed: int = 42) -
         .select("patient_id", F.lit("train").alias("split"))
     return df.join(train, "patient_id", "left").select(
         "patient_id", "readmission_30d_binary", F.coalesce("split", F.lit("test")).alias("split"))
-
-
-def hash_split(df: DataFrame, key: str, train_percent: int = 80, seed: int = 42) -> Column:
-    """M6: stable split label from the key's hash (independent of partitioning)."""
-    bucket = F.pmod(F.conv(F.substring(hash_order(key, seed), 1, 8), 16, 10).cast("bigint"), F.lit(100))
-    return F.when(bucket < train_percent, "train").otherwise("test")
