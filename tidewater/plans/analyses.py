@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.expressions import month_label, month_start, round_ratio
 from ..operators import windows as W
+from . import labels as LB
 from .domain import Domain
 
 
@@ -157,8 +158,9 @@ def patient_risk_scores(dom: Domain, patient_id: int | None = None) -> DataFrame
     score = F.coalesce(round_ratio(F.col("_flags") * 100, n, 2), F.lit(0.0))
     return j.select(
         "patient_id", n.alias("total_encounters"), score.alias("risk_score"),
-    ).withColumn("risk_category", F.when(F.col("risk_score") >= 50, "High")
-                 .when(F.col("risk_score") >= 25, "Medium").otherwise("Low"))
+    ).withColumn("risk_category", F.when(F.col("risk_score") >= LB.RISK_SCORE_HIGH_AT, LB.RISK_SCORE_BANDS[0])
+                 .when(F.col("risk_score") >= LB.RISK_SCORE_MEDIUM_AT, LB.RISK_SCORE_BANDS[1])
+                 .otherwise(LB.RISK_SCORE_BANDS[2]))
 
 
 def encounter_summary(dom: Domain, encounter_id: int | None = None) -> DataFrame:
@@ -177,7 +179,7 @@ def patient_risk_level(dom: Domain) -> DataFrame:
     readm = F.coalesce(F.col("_flags"), F.lit(0)).cast("bigint")
     return j.select(
         "patient_id", F.coalesce("total_encounters", F.lit(0)).alias("total_encounters"),
-        readm.alias("readmissions"), F.when(readm >= 1, "HIGH").otherwise("LOW").alias("risk_level"),
+        readm.alias("readmissions"), F.when(readm >= 1, LB.RISK_LEVELS[0]).otherwise(LB.RISK_LEVELS[1]).alias("risk_level"),
     )
 
 
@@ -198,15 +200,12 @@ def admission_types_vs_global(dom: Domain, min_count: int = 5) -> DataFrame:
         "admission_type_name", "encounter_count",
         round_ratio("_sum", "_n", 2).alias("type_avg_los"),
         round_ratio("_g_sum", "_g_n", 2).alias("hospital_avg_los"),
-        F.when(type_avg > glob_avg, "ABOVE AVG").otherwise("BELOW AVG").alias("comparison_status"),
+        F.when(type_avg > glob_avg, LB.COMPARISON[0]).otherwise(LB.COMPARISON[1]).alias("comparison_status"),
     ).orderBy(F.desc("type_avg_los"))
 
 
 # ---------------------------------------------------------------- Q8 (5C) providers vs benchmark
 
-UNASSIGNED = "[Unassigned / General Staff]"
-
-
 def provider_stats(dom: Domain) -> DataFrame:
     """Cases and readmissions per provider name; encounters without a provider form one group.
 
@@ -231,7 +230,7 @@ def provider_stats(dom: Domain) -> DataFrame:
     return named.groupBy("provider_name").agg(
         F.sum("cases").cast("bigint").alias("Total_Cases"),
         F.sum("readmits").cast("bigint").alias("Readmission_Count"),
-    ).select(F.coalesce("provider_name", F.lit(UNASSIGNED)).alias("Provider_Name"), "Total_Cases",
+    ).select(F.coalesce("provider_name", F.lit(LB.UNASSIGNED_PROVIDER)).alias("Provider_Name"), "Total_Cases",
              "Readmission_Count")
 
 
@@ -250,7 +249,7 @@ def provider_performance(dom: Domain, top: int = 15) -> DataFrame:
         "Provider_Name", "Total_Cases", "Readmission_Count",
         round_ratio(F.col("Readmission_Count") * 100, "Total_Cases", 1).alias("Provider_Readmit_Pct"),
         round_ratio(F.col("_b_sum") * 100, "_b_n", 1).alias("Hospital_Avg_Pct"),
-        F.when(rate_gt, "ABOVE AVG RISK").otherwise("PERFORMING WELL").alias("Performance_Status"),
+        F.when(rate_gt, LB.PERFORMANCE[0]).otherwise(LB.PERFORMANCE[1]).alias("Performance_Status"),
     )
     out = W.add_rank(out, [F.desc("Total_Cases")], "Caseload_Rank", "dense_rank", allow_global=True)
     return out.orderBy(F.desc("Total_Cases"), "Provider_Name")
@@ -312,8 +311,8 @@ def patient_risk_profile(dom: Domain, corrected: bool = False) -> DataFrame:
         F.col("total_emergency_visits").cast("bigint").alias("total_emergency_visits"),
         F.col("total_inpatient_visits").cast("bigint").alias("total_inpatient_visits"),
         F.when(early > 0, 1).otherwise(0).alias("readmission_30d_binary"),
-        F.when(early >= 2, "Very High Risk").when(early == 1, "High Risk")
-        .when(total >= 3, "Medium Risk").otherwise("Low Risk").alias("risk_category"),
+        F.when(early >= 2, LB.RISK_CATEGORIES[0]).when(early == 1, LB.RISK_CATEGORIES[1])
+        .when(total >= 3, LB.RISK_CATEGORIES[2]).otherwise(LB.RISK_CATEGORIES[3]).alias("risk_category"),
     )
 
 
@@ -360,8 +359,9 @@ def glycemic_bands(dom: Domain) -> DataFrame:
     h = json_number("risk_factors", "$.hba1c_last")
     return snapshot.select(
         "patient_id", h.alias("hba1c_last"),
-        F.when(h > 8.5, "POOR CONTROL").when(h.between(7.0, 8.5), "BORDERLINE").otherwise("CONTROLLED")
-        .alias("glycemic_band"),
+        F.when(h > LB.HBA1C_POOR_ABOVE, LB.GLYCEMIC_BANDS[0])
+        .when(h.between(LB.HBA1C_BORDERLINE_FROM, LB.HBA1C_POOR_ABOVE), LB.GLYCEMIC_BANDS[1])
+        .otherwise(LB.GLYCEMIC_BANDS[2]).alias("glycemic_band"),
     )
 
 

@@ -33,8 +33,7 @@ def rounded_mean(c: str, scale: int, digits: int = 2) -> Column:
 
 NUMERIC_FEATURES = ("total_encounters", "avg_los", "unique_drugs", "unique_diagnoses",
                     "total_emergency_visits", "total_inpatient_visits", "readmission_30d_binary")
-# The risk categories in report order.
-RISK_CATEGORIES = ("Very High Risk", "High Risk", "Medium Risk", "Low Risk")
+from .labels import RISK_CATEGORIES  # noqa: E402
 
 
 def _classification(dom: Domain) -> DataFrame:
