@@ -81,3 +81,18 @@ def test_exact_fraction_per_class_and_determinism(spark):
     assert counts == {1: round(333 * 0.7), 0: round(666 * 0.7)}
     b = exact_fraction(df.repartition(5), "id", 0.7, 42, by=["y"])
     assert sorted(r.id for r in a.collect()) == sorted(r.id for r in b.collect())
+
+
+def test_hot_group_is_split_across_tasks(spark):
+    """A group holding a third of all rows is spread over several range slices, not one task."""
+    from tidewater.operators.ordering import _range_sorted
+    n = 30000
+    df = spark.range(0, n).select(F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string"))
+                                  .alias("g"), F.md5(F.col("id").cast("string")).alias("h"))
+    ranged = _range_sorted(df, [F.col("g"), F.col("h")], 8)
+    sizes = [r["count"] for r in ranged.groupBy("_tw_pid").count().collect()]
+    hot_tasks = ranged.where("g = 'hot'").select("_tw_pid").distinct().count()
+    assert max(sizes) < 2 * n / 8 and hot_tasks >= 2
+    got = global_positions(df, ["h"], ["g"], pos_col="p", count_col="k", num_partitions=8).where("g = 'hot'")
+    r = got.agg(F.min("p").alias("lo"), F.max("p").alias("hi"), F.count("*").alias("c"), F.max("k").alias("k")).first()
+    assert (r.lo, r.hi, r.c, r.k) == (1, n // 3, n // 3, n // 3)
