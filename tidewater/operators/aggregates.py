@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.expressions import col, corr_safe, round_ratio
+from ..functions.expressions import corr_safe, round_ratio
 from .ordering import exact_quantiles
 
 
