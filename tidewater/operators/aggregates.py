@@ -204,7 +204,7 @@ def breakdown(df: DataFrame, column: str, categories: Sequence[str], digits: int
     spark = df.sparkSession
     cats = spark.createDataFrame([(c, i) for i, c in enumerate(categories)], f"{column} string, _ord int")
     counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("count"))
-    total = df.agg(F.count(F.lit(1)).alias("_total"))
+    total = counts.agg(F.sum("count").alias("_total"))  # from the counts: the input is read once
     out = F.broadcast(cats).join(counts, column, "left").withColumn("count", F.coalesce("count", F.lit(0)))
     out = out.crossJoin(F.broadcast(total))
     return out.select(column, "count", round_ratio(F.col("count") * 100, F.col("_total"), digits).alias("percent"),
