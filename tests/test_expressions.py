@@ -66,3 +66,16 @@ def test_month_label_and_start(spark):
 def test_cap_keeps_null(spark):
     got = one(spark, X.cap_at("x", F.lit(10.0)), "x double", [(5.0,), (11.0,), (None,)])
     assert got == [5.0, 10.0, None]
+
+
+@pytest.mark.parametrize("flags,visits,score,band", [
+    (0, 4, 0.0, "Low"), (4999, 20000, 25.0, "Medium"), (4998, 20000, 24.99, "Low"),
+    (1, 4, 25.0, "Medium"), (9999, 20000, 50.0, "High"), (1, 2, 50.0, "High"),
+])
+def test_score_edges_round_before_band(spark, flags, visits, score, band):
+    """Q4: the rate is rounded to 2 decimals first, then banded (24.995 -> 25.00 -> Medium)."""
+    from tidewater.plans import labels as LB
+    s = X.round_ratio(F.lit(flags * 100), F.lit(visits), 2)
+    b = F.when(s >= LB.RISK_SCORE_HIGH_AT, "High").when(s >= LB.RISK_SCORE_MEDIUM_AT, "Medium").otherwise("Low")
+    r = spark.range(1).select(s.alias("s"), b.alias("b")).first()
+    assert (r.s, r.b) == (score, band)
