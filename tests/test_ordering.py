@@ -56,7 +56,8 @@ def test_top_k_per_group_equals_window_rank_with_ties(spark):
     df = spark.createDataFrame(rows, "g int, v int, id long")
     for kind in ("rank", "dense_rank", "row_number"):
         order = [F.desc("v"), F.asc("id")] if kind == "row_number" else [F.desc("v")]
-        got = top_k_per_group(df, ["g"], order, 3, rank=kind, rank_col="r", salt_buckets=7)
+        spec = [("v", False), ("id", True)] if kind == "row_number" else [("v", False)]
+        got = top_k_per_group(df, ["g"], spec, 3, rank=kind, rank_col="r", salt_buckets=7)
         fn = {"rank": F.rank, "dense_rank": F.dense_rank, "row_number": F.row_number}[kind]
         want = df.withColumn("r", fn().over(Window.partitionBy("g").orderBy(*order))).where("r <= 3")
         assert sorted(map(tuple, got.select("id", "r").collect())) == sorted(map(tuple, want.select("id", "r").collect()))
@@ -96,3 +97,15 @@ def test_hot_group_is_split_across_tasks(spark):
     got = global_positions(df, ["h"], ["g"], pos_col="p", count_col="k", num_partitions=8).where("g = 'hot'")
     r = got.agg(F.min("p").alias("lo"), F.max("p").alias("hi"), F.count("*").alias("c"), F.max("k").alias("k")).first()
     assert (r.lo, r.hi, r.c, r.k) == (1, n // 3, n // 3, n // 3)
+
+
+def test_top_k_rank_with_a_hot_group_of_ties(spark):
+    """All rows of the hot group tie: every one has rank 1 and is kept (results stay whole)."""
+    rows = [("hot", 5, i) for i in range(600)] + [("hot", 4, 600 + i) for i in range(5)] + [("b", i, 700 + i) for i in range(10)]
+    df = spark.createDataFrame(rows, "g string, v int, id long")
+    got = top_k_per_group(df, ["g"], [("v", False)], 2, rank="rank", rank_col="r", salt_buckets=8)
+    counts = {(r.g, r.r): r["count"] for r in got.groupBy("g", "r").count().collect()}
+    assert counts == {("hot", 1): 600, ("b", 1): 1, ("b", 2): 1}
+    dense = top_k_per_group(df, ["g"], [("v", False)], 2, rank="dense_rank", rank_col="r", salt_buckets=8)
+    assert {(r.g, r.r): r["count"] for r in dense.groupBy("g", "r").count().collect()} == \
+        {("hot", 1): 600, ("hot", 2): 5, ("b", 1): 1, ("b", 2): 1}

@@ -31,7 +31,7 @@ def test_quantile_matches_numpy_at_any_partitioning(spark, vals, parts, q):
        k=st.integers(1, 4), salts=st.integers(1, 6))
 def test_top_k_equals_window_rank(spark, rows, k, salts):
     df = spark.createDataFrame([(g, v, i) for i, (g, v) in enumerate(rows)], "g int, v int, id long")
-    got = top_k_per_group(df, ["g"], [F.desc("v")], k, rank="dense_rank", rank_col="r", salt_buckets=salts)
+    got = top_k_per_group(df, ["g"], [("v", False)], k, rank="dense_rank", rank_col="r", salt_buckets=salts)
     want = df.withColumn("r", F.dense_rank().over(Window.partitionBy("g").orderBy(F.desc("v")))).where(F.col("r") <= k)
     assert sorted(map(tuple, got.select("id", "r").collect())) == sorted(map(tuple, want.select("id", "r").collect()))
 

@@ -151,23 +151,42 @@ def kth_smallest(df: DataFrame, order_by: Sequence[str], k: Column | int, by: Se
     return pos.where(F.col("_p") == kk)
 
 
-def top_k_per_group(df: DataFrame, by: Sequence[str], order_by: Sequence[Column], k: int,
+def top_k_per_group(df: DataFrame, by: Sequence[str], order_by: Sequence[str | tuple[str, bool]], k: int,
                     rank: str = "row_number", rank_col: str = "rank", salt_buckets: int | None = None) -> DataFrame:
     """Rows whose rank within their group is <= k, exactly, without one task per hot group.
 
-    First rank inside (group, salt) sub-groups and keep rank <= k -- every row with a
-    group rank <= k survives, because its sub-group rank can only be smaller. Then rank
-    the survivors (at most k * salts per group, plus ties) within the group.
-    ``rank`` is ``row_number``, ``rank`` or ``dense_rank``.
+    ``order_by`` holds column names (ascending) or ``(name, ascending)`` pairs; nulls sort
+    first ascending and last descending, as in SQL. First rank inside (group, salt)
+    sub-groups and keep rank <= k -- every row with a group rank <= k survives, because its
+    sub-group rank can only be smaller. ``row_number`` then ranks the survivors (at most
+    k * salts per group). ``rank`` / ``dense_rank`` rank the distinct order values among the
+    survivors (also at most k * salts per group) and join the ranks back, so a hot group
+    full of ties is never sorted in one task.
     """
     fn = {"row_number": F.row_number, "rank": F.rank, "dense_rank": F.dense_rank}[rank]
     by = list(by)
+    specs = [(o, True) if isinstance(o, str) else (o[0], bool(o[1])) for o in order_by]
+    sort_cols = [F.col(c).asc_nulls_first() if asc else F.col(c).desc_nulls_last() for c, asc in specs]
     salts = salt_buckets or _partitions(df, None)
     salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(salts))
-    sub = Window.partitionBy(*by, "_salt").orderBy(*order_by)
+    sub = Window.partitionBy(*by, "_salt").orderBy(*sort_cols)
     pre = df.withColumn("_salt", salt).withColumn("_r", fn().over(sub)).where(F.col("_r") <= k).drop("_r", "_salt")
-    full = Window.partitionBy(*by).orderBy(*order_by) if by else Window.orderBy(*order_by)
-    return pre.withColumn(rank_col, fn().over(full)).where(F.col(rank_col) <= k)
+    full = Window.partitionBy(*by) if by else Window.partitionBy()
+    if rank == "row_number":
+        return pre.withColumn(rank_col, fn().over(full.orderBy(*sort_cols))).where(F.col(rank_col) <= k)
+    names = [c for c, _ in specs]
+    vals = pre.groupBy(*by, *names).agg(F.count(F.lit(1)).alias("_c"))
+    w = full.orderBy(*sort_cols)
+    if rank == "rank":
+        better = F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, -1))
+        vals = vals.withColumn(rank_col, (F.coalesce(better, F.lit(0)) + 1).cast("int"))
+    else:
+        vals = vals.withColumn(rank_col, F.row_number().over(w))
+    vals = vals.where(F.col(rank_col) <= k).drop("_c")
+    keys = [*by, *names]
+    vals = vals.select(*[F.col(c).alias(f"_k_{c}") for c in keys], rank_col)
+    cond = [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in keys]
+    return pre.join(vals, cond, "inner").drop(*[f"_k_{c}" for c in keys])
 
 
 def dense_rank_global(df: DataFrame, value: str, descending: bool = False, rank_col: str = "dense_rank",

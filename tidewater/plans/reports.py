@@ -116,7 +116,7 @@ def top_products(t: Tables, k: int = 10) -> DataFrame:
 
 def top_products_per_type(t: Tables, k: int = 3) -> DataFrame:
     """The k best parts of every product type, ranked (skew-safe top-k per group)."""
-    return top_k_per_group(part_revenue(t), ["p_type"], [F.desc("revenue"), F.asc("l_partkey")], k,
+    return top_k_per_group(part_revenue(t), ["p_type"], [("revenue", False), ("l_partkey", True)], k,
                            rank="rank", rank_col="type_rank")
 
 
