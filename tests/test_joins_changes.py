@@ -27,11 +27,12 @@ def test_orphans_and_fanout(spark):
     assert left.join(right, "k", "left").count() == 4
 
 
-def test_period_compare_keeps_every_pair(spark):
+def test_period_compare_one_row_per_key(spark):
+    """Fixture two_years: a country in one year only is dropped; a repeated key is reduced, not paired."""
     df = spark.createDataFrame([("A", 1990, 1.0), ("A", 2020, 2.0), ("B", 1990, 1.0), ("C", 2020, 3.0), ("C", 2020, 4.0),
                                 ("C", 1990, 0.0)], "c string, y int, v double")
     got = sorted(map(tuple, J.period_compare(df, "c", "y", "v", 1990, 2020).collect()))
-    assert got == [("A", 1.0, 2.0), ("C", 0.0, 3.0), ("C", 0.0, 4.0)]
+    assert got == [("A", 1.0, 2.0), ("C", 0.0, 3.5)]
 
 
 def test_update_audit_logs_matched_rows(spark):

@@ -19,7 +19,8 @@ def left_merge(left: DataFrame, right: DataFrame, on: Sequence[str], suffix: str
     """Pandas ``merge(how='left', suffixes=('', suffix))``.
 
     Right-side columns whose names collide get ``suffix``. pandas matches NaN keys with
-    NaN keys; ``null_keys_match=True`` reproduces that with a null-safe comparison.
+    NaN keys; ``null_keys_match=True`` reproduces that with a null-safe comparison. The right
+    side is a lookup (one row per key, e.g. a per-key aggregate), so the join never multiplies.
     """
     on = list(on)
     renamed = right.select(*[F.col(c).alias(c if c in on or c not in left.columns else c + suffix)
@@ -66,12 +67,13 @@ def one_row_cross(df: DataFrame, one_row: DataFrame) -> DataFrame:
 
 
 def period_compare(df: DataFrame, key: str, period_col: str, value: str, first, second,
-                   suffixes=("_first", "_second")) -> DataFrame:
-    """Inner merge of the rows of two periods on ``key`` (pandas keeps every pair).
+                   suffixes=("_first", "_second"), agg=F.avg) -> DataFrame:
+    """Keys present in both periods, with the value of each period side by side.
 
-    Written as one filtered scan and a self-join, so keys duplicated inside a period
-    give every pair, as ``pd.merge`` does.
+    Each period is first reduced to one row per key (``agg``, mean by default; a panel with
+    one row per key and period passes through unchanged), so the join is 1:1 and a key that
+    repeats inside a period never multiplies into all pairs.
     """
-    a = df.where(F.col(period_col) == F.lit(first)).select(key, F.col(value).alias(value + suffixes[0]))
-    b = df.where(F.col(period_col) == F.lit(second)).select(key, F.col(value).alias(value + suffixes[1]))
+    a = df.where(F.col(period_col) == F.lit(first)).groupBy(key).agg(agg(value).alias(value + suffixes[0]))
+    b = df.where(F.col(period_col) == F.lit(second)).groupBy(key).agg(agg(value).alias(value + suffixes[1]))
     return a.join(b, key, "inner")
