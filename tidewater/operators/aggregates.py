@@ -102,16 +102,20 @@ def min_max_mean_range(df: DataFrame, column: str) -> DataFrame:
 def corr_matrix(df: DataFrame, columns: Sequence[str], digits: int = 6) -> DataFrame:
     """Pairwise-complete Pearson correlation of every pair, as rows (a, b, r).
 
-    One aggregate pass computes all pairs (``corr`` ignores rows where either side is
-    null, like pandas). The diagonal is 1 unless the column is constant (then null).
+    One aggregate pass over the upper triangle (k(k+1)/2 correlations, each over the rows
+    where both values exist, like pandas); the lower triangle is its mirror. The diagonal
+    is 1 unless the column is constant (then null).
     """
-    pairs = [(a, b) for a in columns for b in columns]
-    row = df.agg(*[corr_safe(a, b).alias(f"{i}") for i, (a, b) in enumerate(pairs)])
-    stacked = row.select(F.explode(F.array(*[
-        F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"{i}").alias("r"))
-        for i, (a, b) in enumerate(pairs)
-    ])).alias("kv")).select("kv.a", "kv.b", F.round("kv.r", digits).alias("r"))
-    return stacked
+    cols = list(columns)
+    upper = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
+    row = df.agg(*[corr_safe(cols[i], cols[j]).alias(f"c{i}_{j}") for i, j in upper])
+    cells = []
+    for i, j in upper:
+        r = F.col(f"c{i}_{j}")
+        cells.append(F.struct(F.lit(cols[i]).alias("a"), F.lit(cols[j]).alias("b"), r.alias("r")))
+        if i != j:
+            cells.append(F.struct(F.lit(cols[j]).alias("a"), F.lit(cols[i]).alias("b"), r.alias("r")))
+    return row.select(F.explode(F.array(*cells)).alias("kv")).select("kv.a", "kv.b", F.round("kv.r", digits).alias("r"))
 
 
 def missing_percent(df: DataFrame, columns: Sequence[str], digits: int = 2) -> DataFrame:
