@@ -82,3 +82,10 @@ def test_permutation_importance_ranks_the_signal(spark):
     imp = {r.feature: r.rmse_increase for r in EV.permutation_importance(model, df, ["x", "junk"], "id", "label",
                                                                          assemble).collect()}
     assert imp["x"] > 1.0 and abs(imp["junk"]) < 0.1
+
+
+def test_drop_constant_columns(spark):
+    df = spark.createDataFrame([(1, 5, None, "x"), (2, 5, None, "x"), (3, None, None, "x")], "a int, b int, c int, d string")
+    assert QA.drop_constant_columns(df, ["a", "b", "c", "d"]).columns == ["a"]
+    flags = {r.column: r.keep for r in QA.non_constant_columns(df, ["a", "b", "c", "d"]).collect()}
+    assert flags == {"a": True, "b": False, "c": False, "d": False}

@@ -162,3 +162,13 @@ def non_constant_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return row.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(c).alias("n_distinct")) for c in columns
     ])).alias("kv")).select("kv.*").withColumn("keep", F.col("n_distinct") > 1)
+
+
+def drop_constant_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """P21 as a transformation: drop columns with fewer than two distinct non-null values.
+
+    ``nunique() > 1`` is the same test as ``min < max`` over non-null values, which one plain
+    aggregate pass answers (no per-column distinct state). Reads one row of flags on the driver.
+    """
+    row = df.agg(*[(F.min(c) < F.max(c)).alias(c) for c in columns]).first()
+    return df.drop(*[c for c in columns if not row[c]])
