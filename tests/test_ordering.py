@@ -109,3 +109,12 @@ def test_top_k_rank_with_a_hot_group_of_ties(spark):
     dense = top_k_per_group(df, ["g"], [("v", False)], 2, rank="dense_rank", rank_col="r", salt_buckets=8)
     assert {(r.g, r.r): r["count"] for r in dense.groupBy("g", "r").count().collect()} == \
         {("hot", 1): 600, ("hot", 2): 5, ("b", 1): 1, ("b", 2): 1}
+
+
+def test_kth_smallest_and_grouped_dense_rank(spark):
+    from tidewater.operators.ordering import kth_smallest
+    df = spark.createDataFrame([("a", 5), ("a", 1), ("a", 3), ("b", 9), ("b", 9), ("b", 2)], "g string, v int")
+    got = {r.g: r.v for r in kth_smallest(df, ["v"], 2, by=["g"]).collect()}
+    assert got == {"a": 3, "b": 9}
+    ranks = {(r.g, r.v): r.dr for r in dense_rank_global(df, "v", rank_col="dr", by=["g"]).collect()}
+    assert ranks == {("a", 1): 1, ("a", 3): 2, ("a", 5): 3, ("b", 2): 1, ("b", 9): 2}

@@ -63,3 +63,11 @@ def test_audit_stream_inserts_updates_and_replay_is_idempotent(spark, tmp_dir):
     assert again == audit
     snap = spark.read.parquet(f"{root}/snapshot").where(F.col("batch_id") == 1)
     assert {(r.user_id, r.value) for r in snap.collect()} == {(1, 4.0), (2, 9.0)}
+
+
+def test_windowed_volume_with_approximate_users(spark, tmp_dir):
+    src = write_batches(spark, tmp_dir, [[ev(1, 5, 1, 1.0), ev(2, 6, 2, 1.0), ev(3, 7, 2, 1.0)]])
+    stream = ST.event_stream(spark, src)
+    ST.run_available_now(ST.windowed_volume(stream, approx_users=True), f"{tmp_dir}/out", f"{tmp_dir}/ck", mode="complete")
+    r = spark.read.parquet(f"{tmp_dir}/out").first()
+    assert (r.events, r.approx_users) == (3, 2)
