@@ -19,7 +19,7 @@ def write_tables(spark, root, rows_by_table):
 @pytest.fixture()
 def fanout_dir(spark, tmp_dir):
     # one patient, one '<30' visit (status F) with 2 drugs (parts) and 3 diagnoses (line numbers)
-    customer = [(7, "c7", 1, 100.0, "MACHINERY"), (8, "c8", 2, 5000.0, "BUILDING")]
+    customer = [(7, "c7", 1, 100.0, "MACHINERY"), (8, "c8", 2, 5000.0, "BUILDING"), (9, "c9", 1, -5.0, "BUILDING")]
     orders = [(100, 7, "F", 10.0, dt.datetime(2020, 1, 5), "1-URGENT"),
               (200, 8, "O", 10.0, dt.datetime(2020, 2, 5), "5-LOW")]
     lineitem = [(100, p, 1, ln, 1.0, 10.0, 0.0, 0.0, "N", "O", dt.datetime(2020, 1, 9))
@@ -48,7 +48,14 @@ def test_q4_scores_and_bands(spark, fanout_dir):
     dom = Domain(spark, fanout_dir)
     got = {r.patient_id: (r.total_encounters, r.risk_score, r.risk_category)
            for r in Q.patient_risk_scores(dom).collect()}
-    assert got == {7: (1, 100.0, "High"), 8: (1, 0.0, "Low")}
+    assert got == {7: (1, 100.0, "High"), 8: (1, 0.0, "Low"), 9: (0, 0.0, "Low")}  # 9 has no visit
+
+
+def test_q3_keeps_patients_without_visits(spark, fanout_dir):
+    dom = Domain(spark, fanout_dir)
+    r = {x.patient_id: x for x in Q.patient_risk_view(dom).collect()}
+    assert (r[9].total_encounters, r[9].total_readmissions, r[9].avg_length_of_stay) == (0, 0, None)
+    assert r[7].avg_medications_per_visit == 2.0 and r[8].avg_medications_per_visit is None
 
 
 def test_q1_counts_children_without_fanout(spark, fanout_dir):
