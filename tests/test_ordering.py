@@ -118,3 +118,10 @@ def test_kth_smallest_and_grouped_dense_rank(spark):
     assert got == {"a": 3, "b": 9}
     ranks = {(r.g, r.v): r.dr for r in dense_rank_global(df, "v", rank_col="dr", by=["g"]).collect()}
     assert ranks == {("a", 1): 1, ("a", 3): 2, ("a", 5): 3, ("b", 2): 1, ("b", 9): 2}
+
+
+def test_row_of_extreme_ties_and_nulls(spark):
+    from tidewater.operators.ordering import row_of_extreme
+    df = spark.createDataFrame([(3, 9.0), (1, 9.0), (2, None), (4, 1.0), (5, 1.0)], "id long, v double")
+    assert row_of_extreme(df, "v", "id").first().id == 1
+    assert row_of_extreme(df, "v", "id", largest=False).first().id == 4

@@ -212,3 +212,12 @@ def surrogate_keys(df: DataFrame, order_by: Sequence[str | Column], key_col: str
     if start != 1:
         out = out.withColumn(key_col, F.col(key_col) + (start - 1))
     return out
+
+
+def row_of_extreme(df: DataFrame, value: str, key: str, largest: bool = True) -> DataFrame:
+    """T4: the row holding the max (or min) of ``value`` -- nulls skipped, the smallest ``key`` on ties.
+
+    A distributed top-1 (each task keeps its best row, then one merge), not a sort of the input.
+    """
+    order = F.col(value).desc() if largest else F.col(value).asc()
+    return df.where(F.col(value).isNotNull()).orderBy(order, F.col(key).asc()).limit(1)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.expressions import corr_safe, decade_label, round_ratio, three_way_category
 from ..operators import aggregates as A
 from ..operators.features import exact_sample
-from ..operators.ordering import exact_quantiles
+from ..operators.ordering import exact_quantiles, row_of_extreme
 from .analyses import patient_risk_profile
 from .domain import Domain, indicators
 
@@ -129,10 +129,8 @@ def q15_growth_by_decade(dom: Domain) -> DataFrame:
 def q15_extremes(dom: Domain) -> DataFrame:
     """Task 4: row of the highest life expectancy and of the lowest GDP (first by id on ties)."""
     df = indicators(dom)
-    hi = df.where(F.col("LifeExpectancy").isNotNull()).orderBy(F.desc("LifeExpectancy"), "obs_id").limit(1) \
-        .withColumn("extreme", F.lit("max_LifeExpectancy"))
-    lo = df.where(F.col("GDPperCapita").isNotNull()).orderBy("GDPperCapita", "obs_id").limit(1) \
-        .withColumn("extreme", F.lit("min_GDPperCapita"))
+    hi = row_of_extreme(df, "LifeExpectancy", "obs_id", largest=True).withColumn("extreme", F.lit("max_LifeExpectancy"))
+    lo = row_of_extreme(df, "GDPperCapita", "obs_id", largest=False).withColumn("extreme", F.lit("min_GDPperCapita"))
     return hi.unionByName(lo)
 
 
