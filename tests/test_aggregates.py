@@ -83,3 +83,8 @@ def test_cohort_compare(spark):
     df = spark.createDataFrame([(1, 10.0), (1, 20.0), (0, 5.0)], "y int, v double")
     r = A.cohort_compare(df, F.col("y") == 1, ["v"]).first()
     assert (r.mean_yes, r.mean_no, r.difference) == (15.0, 5.0, 10.0)
+
+
+def test_histogram_single_row(spark):
+    h = A.histogram(spark.createDataFrame([(4.5,)], "x double"), "x", 5).orderBy("bin").collect()
+    assert [r["count"] for r in h] == [1, 0, 0, 0, 0] and h[0].lower == 4.5
