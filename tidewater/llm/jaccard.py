@@ -40,6 +40,7 @@ ORDER_SAMPLE = 4096
 ORDER_SHINGLES = 1 << 18
 SMALL_REGION = 16  # members up to which a region reports pairs at once
 BLOCK = 1024  # members of a block of a large region
+NO_ID = -(1 << 63)  # stands for a null id where rows are named
 FILTER_IDS = 1 << 20  # classes up to which the second scan is filtered by a broadcast list
 FLUSH_ENTRIES = 1 << 20
 _TABLE = K.is_word_byte("space")
@@ -81,8 +82,8 @@ def linked(inter, na, nb):
 
 
 def parity_bitmap(sizes: np.ndarray, doc: np.ndarray, g: np.ndarray) -> list[bytes]:
-    """Per set, 4 to 8 bits per shingle; every shingle flips one bit. Halves can be folded onto each other."""
-    bits = np.maximum(64, 1 << np.ceil(np.log2(np.maximum(4 * sizes, 1))).astype(np.int64))
+    """Per set, 2 to 4 bits per shingle; every shingle flips one bit. Halves can be folded onto each other."""
+    bits = np.maximum(64, 1 << np.ceil(np.log2(np.maximum(2 * sizes, 1))).astype(np.int64))
     base = np.cumsum(bits) - bits
     at = base[doc] + (K.mix64(g ^ K.U64(0xA5A5)) % bits[doc].astype(K.U64)).astype(np.int64)
     flipped = (np.bincount(at, minlength=int(bits.sum())) & 1).astype(np.uint8)
@@ -244,41 +245,41 @@ def _regions(entries: DataFrame, slices: int) -> DataFrame:
 
 
 def _sets_of(docs: DataFrame, classes: DataFrame, work: Workspace) -> DataFrame:
-    """Bitmap and whole shingle set of each class in ``classes``."""
-    some = classes.limit(FILTER_IDS + 1).toArrow().column("cls").to_numpy()
-    ids = np.sort(some.view(K.U64)) if len(some) <= FILTER_IDS else None  # else every set goes to the join below
-    shared = docs.sparkSession.sparkContext.broadcast(ids)
+    """Whole shingle set of each class in ``classes`` (cls, rep), read from the text of its representative row."""
+    some = classes.limit(FILTER_IDS + 1).toArrow()
+    known = None  # more than FILTER_IDS: every set goes to the join below
+    if some.num_rows <= FILTER_IDS:
+        cls, rep = some.column("cls").to_numpy().view(K.U64), some.column("rep").to_numpy()
+        order = np.argsort(cls)
+        known = cls[order], rep[order]
+    shared = docs.sparkSession.sparkContext.broadcast(known)
 
     def each(batches):
         known = shared.value
-        seen: set[int] = set()
         for batch in batches:
-            for chunk in K.chunks(batch.column(0)):
+            ids = batch.column(0).fill_null(NO_ID).to_numpy()
+            for chunk in K.chunks(batch.column(1)):
                 g, doc, sizes, prints = shingle_sets(chunk)
+                own = ids[chunk.first : chunk.first + chunk.n]
                 wanted = sizes > 0
                 if known is not None:
-                    at = np.minimum(np.searchsorted(known, prints), max(len(known) - 1, 0))
-                    wanted &= (known[at] == prints) if len(known) else False
-                if len(seen) > 1 << 18:
-                    seen.clear()
-                rows = [i for i in np.flatnonzero(wanted).tolist() if int(prints[i]) not in seen and not seen.add(int(prints[i]))]
-                if not rows:
+                    cls, rep = known
+                    at = np.minimum(np.searchsorted(cls, prints), max(len(cls) - 1, 0))
+                    wanted &= (cls[at] == prints) & (rep[at] == own) if len(cls) else False
+                rows = np.flatnonzero(wanted)
+                if not len(rows):
                     continue
                 first = np.cumsum(sizes) - sizes
-                pick = np.array(rows)
-                inner = K.expand(first[pick], sizes[pick])
-                bitmaps = parity_bitmap(sizes[pick], np.repeat(np.arange(len(pick)), sizes[pick]), g[inner])
-                sets = [g[first[i] : first[i] + sizes[i]].tobytes() for i in rows]
-                yield pa.record_batch([pa.array(K.as_long(prints[pick])), pa.array(bitmaps, pa.binary()), pa.array(sets, pa.binary())], names=["cls", "bitmap", "items"])
+                sets = [g[first[i] : first[i] + sizes[i]].tobytes() for i in rows.tolist()]
+                yield pa.record_batch([pa.array(K.as_long(prints[rows])), pa.array(own[rows]), pa.array(sets, pa.binary())], names=["cls", "rep", "items"])
 
-    rows = docs.select("text").mapInArrow(each, "cls long, bitmap binary, items binary")
-    rows = rows.join(classes, "cls", "left_semi") if ids is None else rows
-    return work.write(rows.dropDuplicates(["cls"]), "sets")
+    rows = docs.mapInArrow(each, "cls long, rep long, items binary")
+    rows = rows.join(classes, ["cls", "rep"], "left_semi") if known is None else rows
+    return work.write(rows.select("cls", "items"), "sets")
 
 
-def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _verify(docs: DataFrame, pairs: DataFrame, reps: DataFrame, work: Workspace) -> DataFrame:
     """Pairs (a, b, na, nb) to those that bitmaps leave, with the exact intersection size."""
-    ids = lambda name, *more: sets.select(F.col("cls").alias(name), *more)
 
     def by_bitmap(batches):
         for batch in batches:
@@ -297,8 +298,12 @@ def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 common.append(int((y[at] == x).sum()))
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("a", "b", "na", "nb")), pa.array(common, pa.int64())], names=["a", "b", "na", "nb", "common"])
 
-    near = pairs.join(ids("a", F.col("bitmap").alias("xa")), "a").join(ids("b", F.col("bitmap").alias("xb")), "b").mapInArrow(by_bitmap, "a long, b long, na long, nb long")
-    return near.join(ids("a", F.col("items").alias("xa")), "a").join(ids("b", F.col("items").alias("xb")), "b").mapInArrow(exact, "a long, b long, na long, nb long, common long")
+    bitmaps = lambda name, to: reps.select(F.col("cls").alias(name), F.col("bitmap").alias(to))
+    near = work.write(pairs.join(bitmaps("a", "xa"), "a").join(bitmaps("b", "xb"), "b").mapInArrow(by_bitmap, "a long, b long, na long, nb long"), "near")
+    needed = near.select(F.col("a").alias("cls")).unionByName(near.select(F.col("b").alias("cls"))).distinct()
+    sets = _sets_of(docs, work.write(reps.select("cls", "rep").join(needed, "cls", "left_semi"), "needed"), work)
+    items = lambda name, to: sets.select(F.col("cls").alias(name), F.col("items").alias(to))
+    return near.join(items("a", "xa"), "a").join(items("b", "xb"), "b").mapInArrow(exact, "a long, b long, na long, nb long, common long").distinct()
 
 
 def _is_link():
@@ -366,28 +371,30 @@ def jaccard_components(docs: DataFrame, work: Workspace | None = None) -> DataFr
     def classes(batches):
         for batch in batches:
             for chunk in K.chunks(batch.column(1)):
-                _, _, sizes, prints = shingle_sets(chunk)
-                yield pa.record_batch([batch.column(0).slice(chunk.first, chunk.n), pa.array(sizes.astype(np.int64)), pa.array(K.as_long(prints), mask=sizes == 0)], names=["doc_id", "n_shingles", "cls"])
+                g, doc, sizes, prints = shingle_sets(chunk)
+                bitmaps = parity_bitmap(sizes, doc, g)
+                yield pa.record_batch([batch.column(0).slice(chunk.first, chunk.n), pa.array(sizes.astype(np.int64)), pa.array(K.as_long(prints), mask=sizes == 0), pa.array(bitmaps, pa.binary())], names=["doc_id", "n_shingles", "cls", "bitmap"])
 
-    rows = work.write(docs.mapInArrow(classes, "doc_id long, n_shingles long, cls long"), "classes")
+    rows = work.write(docs.mapInArrow(classes, "doc_id long, n_shingles long, cls long, bitmap binary"), "classes")
+    # equal sets have equal bitmaps; the copies of a class are combined within each task first
+    reps = rows.where("cls IS NOT NULL").groupBy("cls").agg(F.min(F.coalesce("doc_id", F.lit(NO_ID))).alias("rep"), F.max("bitmap").alias("bitmap"))
+    reps = work.write(reps, "reps")
     found = work.write(_regions(_entries(docs, _frequent(docs), 4 * slices), slices), "regions")
     pairs = found.where("kind = 0").select("a", "b", "na", "nb")
     members = found.where("kind = 1")
     stars = members.where("a <> b AND 4 * least(na, nb) >= 3 * greatest(na, nb)").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.when(F.col("a") < F.col("b"), F.col("na")).otherwise(F.col("nb")).alias("na"), F.when(F.col("a") < F.col("b"), F.col("nb")).otherwise(F.col("na")).alias("nb"))
     first = work.write(pairs.unionByName(stars).distinct(), "pairs")
-    needed = first.select(F.col("a").alias("cls")).unionByName(first.select(F.col("b").alias("cls"))).unionByName(members.select(F.col("a").alias("cls"))).distinct()
-    sets = _sets_of(docs, work.write(needed, "needed"), work)
-    tested = work.write(_verify(first, sets), "tested")
+    tested = work.write(_verify(docs, first, reps, work), "tested")
     links = tested.where(_is_link()).select("a", "b")
     labels = components(links, work)
     if members.limit(1).count():
         distance = tested.select("a", "b", (1 - F.col("common") / (F.col("na") + F.col("nb") - F.col("common"))).alias("distance"))
         both = distance.unionByName(distance.select(F.col("b").alias("a"), F.col("a").alias("b"), "distance"))
         labels = work.write(labels, "labels")
-        more = work.write(_verify(_rest_of_regions(members, labels, both, slices), sets).where(_is_link()).select("a", "b"), "links")
+        more = work.write(_verify(docs, _rest_of_regions(members, labels, both, slices), reps, work).where(_is_link()).select("a", "b"), "links")
         if more.limit(1).count():
             labels = components(labels.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more), work)
     labels = work.write(labels, "labels")
-    named = rows.join(labels.select(F.col("node").alias("cls"), "component"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
+    named = rows.drop("bitmap").join(labels.select(F.col("node").alias("cls"), "component"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
     least = named.where("component IS NOT NULL").groupBy("component").agg(F.min("doc_id").alias("least"))
     return named.join(least, "component", "left").select("doc_id", "n_shingles", F.coalesce("least", "doc_id").alias("component_id"), "cls")
