@@ -9,10 +9,20 @@ import zipfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import ensure_checkpoint_dir
 
 
+def _tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+TOKENIZER = _tokenizer_path()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -43,6 +53,27 @@ def shuffle_slices(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def numbered(df: DataFrame) -> DataFrame:
+    """The columns under plain numbered names, so that names of any kind, even equal ones, pass through Arrow."""
+    return df.toDF(*(f"c_{i}" for i in range(len(df.columns))))
+
+
+def map_rows(df: DataFrame, function, *added: tuple[str, T.DataType]) -> DataFrame:
+    """All columns of ``df``, numbered, through ``function(batch) -> batch``; ``added`` columns come after them."""
+    slim = numbered(df)
+    schema = T.StructType([*slim.schema.fields, *(T.StructField(name, kind) for name, kind in added)])
+
+    def each(batches):
+        for batch in batches:
+            yield from function(batch)
+
+    return slim.mapInArrow(each, schema)
+
+
+def text_column(df: DataFrame) -> int:
+    return df.columns.index("text")
+
+
 class Workspace:
     """A folder of one run below the shared checkpoint folder, for tables that are read more than once."""
 

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textkernel as K
+from .common import map_rows, text_column
 
 WIDTH = 10
 BROADCAST_BYTES = 32 << 20
@@ -164,15 +165,46 @@ def _frequencies(docs: DataFrame, index: WindowIndex) -> np.ndarray:
     return out
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """One row per document: words, words inside an occurrence of an item window, and the items that occur."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+def _slim(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+
+
+def _index(docs: DataFrame, benchmark: DataFrame, width: int, broadcast_bytes: int) -> tuple[DataFrame, WindowIndex | None]:
+    """The items, and their window index unless the benchmark is larger than ``broadcast_bytes``."""
     items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text")).where("item_id IS NOT NULL AND text IS NOT NULL")
-    measured = items.agg(F.coalesce(F.sum(F.octet_length("text") + 64), F.lit(0)).alias("b")).first().b
-    if measured > broadcast_bytes:
-        return _shuffled(docs, items, width)
+    if items.agg(F.coalesce(F.sum(F.octet_length("text") + 64), F.lit(0)).alias("b")).first().b > broadcast_bytes:
+        return items, None
     index = WindowIndex([(r.item_id, r.text) for r in items.collect()], width)  # its size has just been checked
     index.order(_frequencies(docs, index))
+    return items, index
+
+
+def clean_rows(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """The rows of ``docs`` without an occurrence of an item window."""
+    items, index = _index(_slim(docs), benchmark, width, broadcast_bytes)
+    if index is None:
+        content = F.sha2(F.col("text").cast("string"), 256)
+        hit = _shuffled(_slim(docs), items, width, "content").where("contaminated").select("content").distinct()
+        return docs.join(hit, content == hit["content"], "left_anti").select(docs.columns)
+    shared = docs.sparkSession.sparkContext.broadcast(index)
+    at = text_column(docs)
+
+    def judge(batch):
+        known = shared.value
+        for chunk in K.chunks(batch.column(at).cast(pa.string())):
+            clean = np.ones(chunk.n, bool)
+            clean[[d for d, *_ in known.hits(chunk)[2]]] = False
+            yield batch.slice(chunk.first, chunk.n).filter(pa.array(clean))
+
+    return map_rows(docs, judge).toDF(*docs.columns)
+
+
+def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """One row per document: words, words inside an occurrence of an item window, and the items that occur."""
+    docs = _slim(docs)
+    items, index = _index(docs, benchmark, width, broadcast_bytes)
+    if index is None:
+        return _shuffled(docs, items, width)
     shared = docs.sparkSession.sparkContext.broadcast(index)
 
     def scan(batches):
@@ -193,7 +225,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, bro
     return docs.mapInArrow(scan, RESULT)
 
 
-def _shuffled(docs: DataFrame, items: DataFrame, width: int) -> DataFrame:
+def _shuffled(docs: DataFrame, items: DataFrame, width: int, give: str = "documents") -> DataFrame:
     """The way for a benchmark too large to broadcast: equal windows meet by a shuffle on their hash.
 
     Copies of a document are looked up once, and the words of a window travel with it for the exact test.
@@ -204,6 +236,8 @@ def _shuffled(docs: DataFrame, items: DataFrame, width: int) -> DataFrame:
     unique = docs.withColumn("content", F.sha2(F.col("text"), 256)).where("content IS NOT NULL")
     reps = unique.groupBy("content").agg(F.first("text").alias("text"))
     found = reps.mapInArrow(lambda b: _doc_rows(b, sizes), "content string, at long, size int, words string").join(keyed, "words")
+    if give == "content":
+        return found.select("content", F.lit(True).alias("contaminated"))
     spans = found.groupBy("content").agg(F.collect_set(F.struct("at", "size")).alias("spans"), F.collect_set("item_id").alias("ids"))
     joined = docs.withColumn("content", F.sha2(F.col("text"), 256)).join(spans, "content", "left").select("doc_id", "text", "spans", "ids")
 

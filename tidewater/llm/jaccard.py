@@ -28,11 +28,12 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import textkernel as K
-from .common import Workspace, shuffle_slices
+from .common import Workspace, map_rows, shuffle_slices, text_column
 from .graph import components
 
 WORDS = 5
@@ -361,10 +362,9 @@ def _cell(rows, key):
         yield pa.record_batch([pa.array(cls[x]), pa.array(cls[y]), pa.array(n[x]), pa.array(n[y])], names=["a", "b", "na", "nb"])
 
 
-def jaccard_components(docs: DataFrame, work: Workspace | None = None) -> DataFrame:
-    """One row per document: ``doc_id``, ``n_shingles``, ``component_id`` and the class of equal sets ``cls``."""
+def _components(docs: DataFrame, work: Workspace) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, n_shingles, cls, component) of every row, and (component, least) with the least id of each component."""
     spark = docs.sparkSession
-    work = work or Workspace(spark, "jaccard")
     slices = shuffle_slices(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
@@ -396,5 +396,37 @@ def jaccard_components(docs: DataFrame, work: Workspace | None = None) -> DataFr
             labels = components(labels.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more), work)
     labels = work.write(labels, "labels")
     named = rows.drop("bitmap").join(labels.select(F.col("node").alias("cls"), "component"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
-    least = named.where("component IS NOT NULL").groupBy("component").agg(F.min("doc_id").alias("least"))
+    return named, named.where("component IS NOT NULL").groupBy("component").agg(F.min("doc_id").alias("least"))
+
+
+def jaccard_components(docs: DataFrame, work: Workspace | None = None) -> DataFrame:
+    """One row per document: ``doc_id``, ``n_shingles``, ``component_id`` and the class of equal sets ``cls``."""
+    named, least = _components(docs, work or Workspace(docs.sparkSession, "jaccard"))
     return named.join(least, "component", "left").select("doc_id", "n_shingles", F.coalesce("least", "doc_id").alias("component_id"), "cls")
+
+
+def keep_one(docs: DataFrame, work: Workspace | None = None) -> DataFrame:
+    """The rows of ``docs`` with one row of each component, that with the least id; rows without shingles all stay."""
+    work = work or Workspace(docs.sparkSession, "jaccard")
+    named, least = _components(docs, work)
+    verdict = work.write(named.where("cls IS NOT NULL").select("cls", "component").distinct().join(least, "component"), "verdict")
+    at = text_column(docs)
+
+    def tag(batch):
+        for chunk in K.chunks(batch.column(at).cast(pa.string())):
+            _, _, sizes, prints = shingle_sets(chunk)
+            rows = batch.slice(chunk.first, chunk.n)
+            yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(K.as_long(prints), mask=sizes == 0)], names=[*rows.schema.names, "cls"])
+
+    tagged = map_rows(docs, tag, ("cls", T.LongType()))
+    id_ = F.col(f"c_{docs.columns.index('doc_id')}")
+    kept = tagged.join(verdict, "cls", "left").where(F.col("cls").isNull() | id_.eqNullSafe(F.col("least")))
+    # an id may have several rows in its component: then only the first of them by its columns stays
+    again = named.join(verdict.select("cls", "least"), "cls").where(F.col("doc_id").eqNullSafe(F.col("least"))).groupBy("component").agg(F.count("*").alias("n")).where("n > 1").select("component")
+    own = [f"c_{i}" for i in range(len(docs.columns))]
+    if again.limit(1).count():
+        again = work.write(again, "again")
+        first = F.row_number().over(Window.partitionBy("component").orderBy(f"c_{at}", *(F.xxhash64(F.col(c).cast("string")) for c in own)))
+        one = kept.join(again, "component", "left_semi").withColumn("r", first).where("r = 1")
+        kept = kept.join(again, "component", "left_anti").select(own).unionByName(one.select(own))
+    return kept.select(own).toDF(*docs.columns)

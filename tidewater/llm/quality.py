@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textkernel as K
-from .common import fold
+from .common import fold, map_rows, text_column
 from .rules import base_columns, char_histogram
 
 MAX_ROWS = 20_000
@@ -223,3 +223,18 @@ def score_quality(docs: DataFrame, labels: DataFrame, modulus: int = 3, held_out
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     scored = slim.mapInArrow(each, "doc_id long, score double, predicted int")
     return scored.select("doc_id", (fold("doc_id", modulus) == held_out).alias("held_out"), "score", "predicted")
+
+
+def keep_quality(docs: DataFrame, labels: DataFrame, modulus: int = 3, held_out: int = 1, max_rows: int = MAX_ROWS) -> DataFrame:
+    """The rows of ``docs`` with a score of at least 0.5."""
+    model = train(docs, labels, modulus, held_out, max_rows)
+    shared = docs.sparkSession.sparkContext.broadcast(model[0] if model else None)
+    at = text_column(docs)
+
+    def judge(batch):
+        network = shared.value
+        for chunk in K.chunks(batch.column(at).cast(pa.string())):
+            rows = batch.slice(chunk.first, chunk.n)
+            yield rows.filter(pa.array(sigmoid(network.margin(features(chunk))) >= 0.5)) if network else rows
+
+    return map_rows(docs, judge).toDF(*docs.columns)

@@ -7,11 +7,27 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ship_package, table
+from .common import TOKENIZER, ship_package, table
 from .decontam import decontaminate
+from .html import main_texts
 from .jaccard import jaccard_components
+from .language import identify
+from .language_model import score_texts
+from .packing import pack_documents
+from .quality import score_quality
 from .rules import quality_rules
 from .suffix import remove_repeats
+from .toxicity import score_toxicity
+
+
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return pack_documents(table(spark, sf_dir, "documents"), TOKENIZER)
 
 
 def op3_distribution_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,20 +41,49 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return main_texts(table(spark, sf_dir, "pages"))
+
+
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship_package(spark)
     return jaccard_components(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return identify(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents"))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship_package(spark)
     return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("items")
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op10_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return score_texts(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op3_distribution_rules": op3_distribution_rules,
-    "op4_suffix_dedup": op4_suffix_dedup,
-    "op6_jaccard_join": op6_jaccard_join,
-    "op8_decontamination": op8_decontamination,
+    f.__name__: f
+    for f in (
+        op1_quality_classifier,
+        op2_best_fit_packing,
+        op3_distribution_rules,
+        op4_suffix_dedup,
+        op5_html_extraction,
+        op6_jaccard_join,
+        op7_language_id,
+        op8_decontamination,
+        op9_toxicity,
+        op10_language_model,
+    )
 }
 ORACLE: dict[str, str] = {}

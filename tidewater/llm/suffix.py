@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import textkernel as K
-from .common import Workspace, shuffle_slices
+from .common import Workspace, map_rows, shuffle_slices, text_column
 from .suffix_core import samples, window_hashes
 
 LENGTH = 200
@@ -350,49 +350,78 @@ def removals(texts: DataFrame, work: Workspace, batches: int = BATCHES, length:
     return every.groupBy("content").agg(F.collect_set(F.struct("first", "end")).alias("spans"))
 
 
-def _plus(df: DataFrame, *columns) -> T.StructType:
-    return T.StructType([*df.schema.fields, *(T.StructField(name, kind) for name, kind in columns)])
+def _cut_batch(batch: pa.RecordBatch, at: int):
+    """Byte count, removed bytes, removed runs and remaining bytes of each row; the last column has the intervals."""
+    text, found = batch.column(at).cast(pa.string()), batch.column(batch.num_columns - 1)
+    kept, figures = [], np.zeros((len(batch), 3), np.int64)
+    for chunk in K.chunks(text):
+        for i in range(chunk.n):
+            whole = K.text_of(chunk, i)
+            row = chunk.first + i
+            figures[row, 0] = len(whole)
+            value = found[row]
+            if not value.is_valid:
+                kept.append(whole)
+                continue
+            first, end = (value.values.field(c).to_numpy() for c in ("first", "end"))
+            _, first, end = _union(np.zeros(len(first), np.int64), first, end)
+            figures[row, 1:] = (end - first).sum(), len(first)
+            cuts = [0, *np.stack([first, end], 1).ravel().tolist(), len(whole)]
+            kept.append(b"".join(whole[a:b] for a, b in zip(cuts[::2], cuts[1::2], strict=True)))
+    return figures, kept
+
+
+def _tagged(docs: DataFrame) -> DataFrame:
+    """Numbered columns of ``docs`` with the hash of each row's text."""
+    at = text_column(docs)
+
+    def tag(batch):
+        for chunk in K.chunks(batch.column(at).cast(pa.string())):
+            rows = batch.slice(chunk.first, chunk.n)
+            yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(K.as_long(_content_ids(chunk)))], names=[*rows.schema.names, "content"])
+
+    return map_rows(docs, tag, ("content", T.LongType()))
 
 
 def remove_repeats(docs: DataFrame, work: Workspace | None = None, batches: int = BATCHES, length: int = LENGTH, gram: int = GRAM, limit: int = FILTER_IDS) -> DataFrame:
-    """All columns of ``docs`` and, per row: ``n_bytes``, ``n_removed``, ``n_spans``, ``kept`` (the remaining bytes)."""
+    """One row per document: ``doc_id``, ``n_bytes``, ``n_removed``, ``n_spans`` and ``kept``, the remaining bytes."""
     work = work or Workspace(docs.sparkSession, "suffix")
-    texts = docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text"))
-    spans = removals(texts, work, batches, length, gram, limit)
-    slim = docs.select(*(F.col(c).alias(f"c_{i}") for i, c in enumerate(docs.columns)))
-    at, names = docs.columns.index("text"), list(slim.columns)
-
-    def tag(batches_):
-        for batch in batches_:
-            for chunk in K.chunks(batch.column(at).cast(pa.string())):
-                yield pa.RecordBatch.from_arrays([*(c.slice(chunk.first, chunk.n) for c in batch.columns), pa.array(K.as_long(_content_ids(chunk)))], names=[*names, "content"])
-
-    tagged = slim.mapInArrow(tag, _plus(slim, ("content", T.LongType())))
-    joined = tagged.join(spans, "content", "left").drop("content")
-
-    def cut(batches_):
-        for batch in batches_:
-            text, found = batch.column(at).cast(pa.string()), batch.column("spans")
-            kept, figures = [], np.zeros((len(batch), 3), np.int64)
-            for chunk in K.chunks(text):
-                for i in range(chunk.n):
-                    whole = K.text_of(chunk, i)
-                    row = chunk.first + i
-                    figures[row, 0] = len(whole)
-                    value = found[row]
-                    if not value.is_valid:
-                        kept.append(whole)
-                        continue
-                    first, end = (value.values.field(c).to_numpy() for c in ("first", "end"))
-                    _, first, end = _union(np.zeros(len(first), np.int64), first, end)
-                    figures[row, 1:] = (end - first).sum(), len(first)
-                    cuts = [0, *np.stack([first, end], 1).ravel().tolist(), len(whole)]
-                    kept.append(b"".join(whole[a:b] for a, b in zip(cuts[::2], cuts[1::2], strict=True)))
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), *(pa.array(figures[:, i]) for i in range(3)), pa.array(kept, pa.binary())], names=[*names, "n_bytes", "n_removed", "n_spans", "kept"])
-
-    schema = _plus(slim, ("n_bytes", T.LongType()), ("n_removed", T.LongType()), ("n_spans", T.LongType()), ("kept", T.BinaryType()))
-    out = joined.mapInArrow(cut, schema)
-    taken = {"n_bytes", "n_removed", "n_spans", "kept"}
-    return out.select(*(F.col(f"c_{i}").alias(c) for i, c in enumerate(docs.columns) if c not in taken), *sorted(taken))
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    spans = removals(docs, work, batches, length, gram, limit)
+
+    def cut(rows):
+        for batch in rows:
+            figures, kept = _cut_batch(batch, 1)
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(figures[:, i]) for i in range(3)), pa.array(kept, pa.binary())], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
 
+    joined = _tagged(docs).join(spans, "content", "left").drop("content")
+    return joined.mapInArrow(cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
 
+
+def without_repeats(docs: DataFrame, work: Workspace | None = None, batches: int = BATCHES, length: int = LENGTH, gram: int = GRAM, limit: int = FILTER_IDS) -> DataFrame:
+    """The rows of ``docs`` with what is left of their texts; rows of which nothing is left go.
+
+    Where a cut splits a character, its remaining bytes go too. A column ``n_chars`` follows the text.
+    """
+    work = work or Workspace(docs.sparkSession, "suffix")
+    spans = removals(docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text")), work, batches, length, gram, limit)
+    at, counted = text_column(docs), docs.columns.index("n_chars") if "n_chars" in docs.columns else None
+    joined = _tagged(docs).join(spans, "content", "left").drop("content")
+    own = joined.columns[:-1]
+    schema = T.StructType(joined.schema.fields[:-1])
+
+    def cut(rows):
+        for batch in rows:
+            figures, kept = _cut_batch(batch, at)
+            changed = figures[:, 1] > 0
+            columns = batch.columns[:-1]
+            old = columns[at]
+            texts = [k.decode("utf-8", "ignore") if c else t for k, c, t in zip(kept, changed.tolist(), old.to_pylist(), strict=True)]
+            columns[at] = pa.array(texts, old.type)
+            if counted is not None:
+                chars = columns[counted].to_pylist()
+                columns[counted] = pa.array([len(t) if c else n for t, c, n in zip(texts, changed.tolist(), chars, strict=True)], columns[counted].type)
+            left = [not c or bool(k) for k, c in zip(kept, changed.tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays(columns, names=own).filter(pa.array(left, pa.bool_()))
+
+    return joined.mapInArrow(cut, schema).toDF(*docs.columns)
