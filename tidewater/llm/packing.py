@@ -51,6 +51,7 @@ class UnitTable:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        (self.line_break,) = self.encode(["\n"])[0]
         self.clear()
 
     def clear(self) -> None:
@@ -60,23 +61,50 @@ class UnitTable:
     def encode(self, texts: list[str]) -> list[list[int]]:
         return [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def rows(self, hashes: list[int], unit) -> np.ndarray:
-        """Table rows of the units; ``unit(i)`` gives the text of a new one."""
+    def split(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all units and how many each has. Units are encoded as lines of one text where that cannot change them."""
+        size = ends - starts
+        inner = K.expand(starts, size)
+        of = np.repeat(np.arange(len(starts)), size)
+        odd = np.zeros(len(starts), bool)
+        odd[of[data[inner] == 10]] = True
+        odd |= data[ends - 1] == 32
+        plain = np.flatnonzero(~odd)
+        counts = np.zeros(len(starts), np.int64)
+        ids = np.zeros(0, np.uint32)
+        if len(plain):
+            lines = np.full(int((size[plain] + 1).sum()), 10, np.uint8)
+            at = np.cumsum(size[plain] + 1) - size[plain] - 1
+            lines[K.expand(at, size[plain])] = data[K.expand(starts[plain], size[plain])]
+            ids = np.array(self.encode([lines.tobytes().decode()])[0], np.uint32)
+            stop = np.flatnonzero(ids == self.line_break)
+            counts[plain] = np.diff(np.concatenate([[-1], stop])) - 1
+            ids = ids[ids != self.line_break]
+        first = np.cumsum(counts) - counts
+        rest = np.flatnonzero(odd)
+        if len(rest):
+            other = self.encode([data[starts[i] : ends[i]].tobytes().decode() for i in rest.tolist()])
+            first[rest] = len(ids) + np.cumsum([0, *map(len, other)])[:-1]
+            counts[rest] = [len(x) for x in other]
+            ids = np.concatenate([ids, np.array([x for o in other for x in o], np.uint32)])
+        return ids[K.expand(first, counts)], counts
+
+    def rows(self, hashes: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Table rows of distinct units given by their hashes and places."""
         if len(self.row) > CACHE_UNITS:
             self.clear()
-        new = [i for i, h in enumerate(hashes) if h not in self.row]
-        if new:
-            encoded = self.encode([unit(i) for i in new])
+        known = hashes.tolist()
+        new = np.array([i for i, h in enumerate(known) if h not in self.row], np.int64)
+        if len(new):
+            ids, counts = self.split(data, starts[new], ends[new])
             n, at = len(self.row), self.used
-            total = sum(map(len, encoded))
-            self.first, self.count, self.ids = _room(self.first, n + len(new)), _room(self.count, n + len(new)), _room(self.ids, at + total)
-            counts = np.fromiter(map(len, encoded), np.int64, len(encoded))
+            self.first, self.count, self.ids = _room(self.first, n + len(new)), _room(self.count, n + len(new)), _room(self.ids, at + len(ids))
             self.count[n : n + len(new)] = counts
             self.first[n : n + len(new)] = at + np.cumsum(counts) - counts
-            self.ids[at : at + total] = np.fromiter((x for e in encoded for x in e), np.uint32, total)
-            self.used = at + total
-            self.row.update((hashes[i], n + j) for j, i in enumerate(new))
-        return np.fromiter((self.row[h] for h in hashes), np.int64, len(hashes))
+            self.ids[at : at + len(ids)] = ids
+            self.used = at + len(ids)
+            self.row.update(zip(hashes[new].tolist(), range(n, n + len(new)), strict=True))
+        return np.fromiter(map(self.row.__getitem__, known), np.int64, len(known))
 
 
 def _room(x: np.ndarray, n: int) -> np.ndarray:
@@ -133,7 +161,7 @@ def token_ids(chunk: K.Chunk, table: UnitTable, end_id: int = END_ID) -> tuple[n
     starts = unit_starts(data, chunk.offsets)
     ends = np.append(starts[1:], len(data))
     hashes, sample, at = np.unique(K.span_hash(K.prefix_sums(data, _CODES), starts, ends), return_index=True, return_inverse=True)
-    rows = table.rows(hashes.tolist(), lambda i: data[starts[sample[i]] : ends[sample[i]]].tobytes().decode())[at]
+    rows = table.rows(hashes, data, starts[sample], ends[sample])[at]
     counts = table.count[rows]
     doc = np.searchsorted(chunk.offsets, starts, side="right") - 1
     per_doc = np.bincount(doc, counts, minlength=chunk.n).astype(np.int64) + 1
