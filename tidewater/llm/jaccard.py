@@ -8,9 +8,10 @@ regions of these shingles and to no other. Equal sets are one class from the sta
 * A small region reports its pairs that pass the length bound 4 * min >= 3 * max and the positional bound.
 * In a large region the member with the least id is the pivot and is compared with every member.
   Members within the threshold are linked to it and thereby to each other. What is left joins
-  recursively: the region is split into size cells, a set being replicated to the neighbouring cell
-  its partners can be in, and into blocks; pairs whose distances to the pivot differ by more than the
-  threshold (triangle inequality) or that are already connected are skipped, all others are tested.
+  recursively: the regions of a pivot are one cell, a set being replicated to the cells of all pivots whose
+  regions it is in; a cell is split by set size, a set being replicated to the neighbouring size its partners can
+  have, and into blocks. Pairs whose distances to the pivot differ by more than the threshold (triangle
+  inequality) or that are already connected are skipped, all others are tested inside the cell.
 
 Candidate pairs are tested by parity bitmaps, whose Hamming distance never exceeds the symmetric
 difference, then exactly on the whole shingle sets. Links become components without pairs of copies.
@@ -40,7 +41,7 @@ WORDS = 5
 ORDER_SAMPLE = 4096
 ORDER_SHINGLES = 1 << 18
 SMALL_REGION = 16  # members up to which a region reports pairs at once
-BLOCK = 1024  # members of a block of a large region
+BLOCK = 512  # members of a block of a large cell
 NO_ID = -(1 << 63)  # stands for a null id where rows are named
 FILTER_IDS = 1 << 20  # classes up to which the second scan is filtered by a broadcast list
 FLUSH_ENTRIES = 1 << 20
@@ -311,43 +312,100 @@ def _is_link():
     return F.col("common") * 4 >= (F.col("na") + F.col("nb") - F.col("common")) * 3
 
 
-def _rest_of_regions(members: DataFrame, labels: DataFrame, distances: DataFrame, slices: int) -> DataFrame:
-    """Pairs of large regions that are not yet connected and that no bound excludes."""
+def _rest_of_regions(docs: DataFrame, members: DataFrame, labels: DataFrame, distances: DataFrame, reps: DataFrame, slices: int, work: Workspace) -> DataFrame:
+    """Links (a, b) between members of large regions that are not yet connected.
+
+    Regions with the same pivot are one cell of the pivot. Bitmaps first tell which members have a possible partner left; only
+    their sets are read, and pairs are tested inside the cell, so that only links leave it.
+    """
     named = members.join(labels.select(F.col("node").alias("a"), "component"), "a", "left").withColumn("label", F.coalesce("component", "a"))
-    named = named.join(distances.select("a", "b", "distance"), ["a", "b"], "left").withColumn("distance", F.when(F.col("a") == F.col("b"), 0.0).otherwise(F.col("distance")))
-    open_ = named.groupBy("region").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("m")).where("lo <> hi")
-    rest = named.join(open_.select("region", "m"), "region")
+    own = named.groupBy("b", "a").agg(F.min("label").alias("label"), F.min("na").alias("na"), F.min("pos").alias("pos"))
+    open_ = own.groupBy("b").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("m")).where("lo <> hi")
+    rest = own.join(open_.select("b", "m"), "b").join(distances.select("a", "b", "distance"), ["a", "b"], "left")
+    rest = rest.withColumn("distance", F.when(F.col("a") == F.col("b"), 0.0).otherwise(F.col("distance")))
     # size cells: partners are in the same cell or in the next; blocks: every two blocks of a region meet once
     cell = F.floor(F.log(F.col("na").cast("double")) / F.log(F.lit(4 / 3)) + F.lit(1e-9)).cast("int")
     rest = rest.withColumn("cell", cell).withColumn("blocks", F.ceil(F.col("m") / BLOCK).cast("int"))
     rest = rest.withColumn("block", F.pmod(F.xxhash64("a"), F.col("blocks")).cast("int"))
     # copy (cell, role 0) is the lower cell of a pair of cells, (cell - 1, role 1) the upper one
     roles = F.array(F.struct(F.col("cell").alias("low"), F.lit(0).alias("role")), F.struct((F.col("cell") - 1).alias("low"), F.lit(1).alias("role")))
+    rest = rest.join(reps.select(F.col("cls").alias("a"), "bitmap"), "a")
     rest = rest.withColumn("r", F.explode(roles)).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rest = rest.select("region", "r.low", "r.role", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"), "block", "a", "label", "na", "pos", "distance")
-
-    def each(batches):
-        key, held = None, []
-        for batch in batches:
-            for row in zip(*(batch.column(i).to_pylist() for i in range(11)), strict=True):
-                if row[:5][:2] + row[3:5] != key:
-                    if held:
-                        yield from _cell(held, key)
-                    key, held = row[:2] + row[3:5], []
-                held.append(row)
-        if held:
-            yield from _cell(held, key)
-
-    keys = ["region", "low", "one", "two"]
-    return rest.repartition(slices, *keys).sortWithinPartitions(*keys).mapInArrow(each, "a long, b long, na long, nb long").distinct()
-
-
-def _cell(rows, key):
-    role, block, cls, label, n, pos = (np.array([r[i] for r in rows], np.int64) for i in (2, 5, 6, 7, 8, 9))
+    rest = rest.select("b", "r.low", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"), "r.role", "block", "a", "label", "na", "pos", "distance", "bitmap")
+    keys = ["b", "low", "one", "two"]
+
+    def by_cell(function):
+        def each(batches):
+            key, held = None, []
+            for batch in batches:
+                for row in zip(*(batch.column(i).to_pylist() for i in range(batch.num_columns)), strict=True):
+                    if row[:4] != key:
+                        if held:
+                            yield from function(held)
+                        key, held = row[:4], []
+                    held.append(row)
+            if held:
+                yield from function(held)
+
+        return each
+
+    fields = "b long, low int, one int, two int, role int, block int, a long, label long, na long, pos long, distance double, bitmap binary"
+    names = [f.split()[0] for f in fields.split(", ")]
+
+    def possible(rows):
+        i, j, _ = _cell_pairs(rows)
+        some = [rows[k] for k in np.union1d(i, j).tolist()]
+        kinds = [pa.int64(), *[pa.int32()] * 5, *[pa.int64()] * 4, pa.float64(), pa.binary()]
+        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in some], kind) for k, kind in enumerate(kinds)], names=names)
+
+    def exact(rows):
+        i, j, apart = _cell_pairs(rows)
+        order = np.argsort(apart, kind="stable")  # likely links first: what they connect needs no further test
+        sets = [np.frombuffer(r[12], K.U64) for r in rows]
+        parent: dict[int, int] = {}
+
+        def root(x):
+            while parent.get(x, x) != x:
+                x = parent[x]
+            return x
+
+        links = []
+        for x, y in zip(i[order].tolist(), j[order].tolist(), strict=True):
+            p, q = root(rows[x][7]), root(rows[y][7])
+            if p == q:
+                continue
+            u, v = sets[x], sets[y]
+            if len(u) > len(v):
+                u, v = v, u
+            common = int((v[np.minimum(np.searchsorted(v, u), len(v) - 1)] == u).sum())
+            if linked(common, len(u), len(v)):
+                parent[max(p, q)] = min(p, q)
+                links.append((rows[x][6], rows[y][6]))
+        yield pa.record_batch([pa.array([x for x, _ in links], pa.int64()), pa.array([y for _, y in links], pa.int64())], names=["a", "b"])
+
+    dealt = rest.repartition(slices, *keys).sortWithinPartitions(*keys)
+    left = work.write(dealt.mapInArrow(by_cell(possible), fields), "possible")
+    needed = reps.select("cls", "rep").join(left.select(F.col("a").alias("cls")).distinct(), "cls", "left_semi")
+    sets = _sets_of(docs, work.write(needed, "needed"), work)
+    full = left.join(sets.select(F.col("cls").alias("a"), "items"), "a").select(*names, "items")
+    return full.repartition(slices, *keys).sortWithinPartitions(*keys).mapInArrow(by_cell(exact), "a long, b long").distinct()
+
+
+def _cell_pairs(rows) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs of a cell that no bound excludes, and how many bits their bitmaps differ in, by size."""
+    one, two = rows[0][2], rows[0][3]
+    role, block, cls, label, n, pos = (np.array([r[i] for r in rows], np.int64) for i in (4, 5, 6, 7, 8, 9))
     distance = np.array([np.nan if r[10] is None else r[10] for r in rows])
-    one, two = key[2], key[3]
+    width = min(len(r[11]) for r in rows) // 8
+    bits = np.empty((len(rows), width), np.uint64)
+    for k, r in enumerate(rows):
+        x = np.frombuffer(r[11], np.uint64)
+        while len(x) > width:
+            x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+        bits[k] = x
     low = np.flatnonzero(role == 0)
-    for some in np.array_split(low, max(1, len(low) * len(rows) >> 21)):
+    found = [(np.zeros(0, np.int64),) * 2 + (np.zeros(0),)]
+    for some in np.array_split(low, max(1, len(low) * len(rows) >> 19)):
         i, j = (x.ravel() for x in np.meshgrid(some, np.arange(len(rows)), indexing="ij"))
         ok = label[i] != label[j]
         # within the lower cell each pair once; the upper cell only against the lower
@@ -357,9 +415,12 @@ def _cell(rows, key):
         apart = np.abs(distance[i] - distance[j]) > 0.25 + 1e-9  # triangle inequality; unknown distances exclude nothing
         ok = pair_fits(n[i], n[j], pos[i], pos[j]) & ~apart
         i, j = i[ok], j[ok]
-        swap = cls[i] > cls[j]
-        x, y = np.where(swap, j, i), np.where(swap, i, j)
-        yield pa.record_batch([pa.array(cls[x]), pa.array(cls[y]), pa.array(n[x]), pa.array(n[y])], names=["a", "b", "na", "nb"])
+        for part in np.array_split(np.arange(len(i)), max(1, len(i) * width >> 20)):
+            x, y = i[part], j[part]
+            differ = np.bitwise_count(bits[x] ^ bits[y]).sum(1, dtype=np.int64)
+            ok = 7 * differ <= n[x] + n[y]
+            found.append((x[ok], y[ok], differ[ok] / (n[x] + n[y])[ok]))
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
 def _components(docs: DataFrame, work: Workspace) -> tuple[DataFrame, DataFrame]:
@@ -391,7 +452,7 @@ def _components(docs: DataFrame, work: Workspace) -> tuple[DataFrame, DataFrame]
         distance = tested.select("a", "b", (1 - F.col("common") / (F.col("na") + F.col("nb") - F.col("common"))).alias("distance"))
         both = distance.unionByName(distance.select(F.col("b").alias("a"), F.col("a").alias("b"), "distance"))
         labels = work.write(labels, "labels")
-        more = work.write(_verify(docs, _rest_of_regions(members, labels, both, slices), reps, work).where(_is_link()).select("a", "b"), "links")
+        more = work.write(_rest_of_regions(docs, members, labels, both, reps, slices, work), "links")
         if more.limit(1).count():
             labels = components(labels.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more), work)
     labels = work.write(labels, "labels")
