@@ -44,7 +44,7 @@ SMALL_REGION = 16  # members up to which a region reports pairs at once
 BLOCK = 512  # members of a block of a large cell
 NO_ID = -(1 << 63)  # stands for a null id where rows are named
 FILTER_IDS = 1 << 20  # classes up to which the second scan is filtered by a broadcast list
-FLUSH_ENTRIES = 1 << 20
+FLUSH_ENTRIES = 1 << 19
 _TABLE = K.is_word_byte("space")
 _CODES = K.byte_codes(lower=True)
 

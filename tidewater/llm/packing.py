@@ -38,7 +38,7 @@ END_ID = 2
 PART_PIECES = 1 << 14
 MERGE = 4
 ROUNDS = 2
-CACHE_UNITS = 400_000
+CACHE_UNITS = 250_000
 _CODES = K.byte_codes()
 #: bytes after which the cuts below could differ from the pre-tokenizer's: control bytes and white space beyond space and \n
 _UNUSUAL = re.compile(rb"[\x00-\x09\x0b-\x1f\x7f]|\xc2[\x80-\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
@@ -77,14 +77,9 @@ class UnitTable:
     """Ids of the units met so far; one per Python worker, emptied when it has ``CACHE_UNITS`` units."""
 
     def __init__(self, path: str):
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        fast = rank_encoder(path)
-        self.encode_lines = fast or (lambda text: self.encode([text])[0])
-        (self.line_break,) = self.encode(["\n"])[0]
+        self.path, self.tokenizer = path, None
+        self.encode_lines = rank_encoder(path) or (lambda text: self.encode([text])[0])
+        (self.line_break,) = self.encode_lines("\n")
         self.clear()
 
     def clear(self) -> None:
@@ -92,6 +87,12 @@ class UnitTable:
         self.ids, self.first, self.count, self.used = np.zeros(1 << 16, np.uint32), np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64), 0
 
     def encode(self, texts: list[str]) -> list[list[int]]:
+        if self.tokenizer is None:  # loaded by the workers that need it
+            os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+            from tokenizers import Tokenizer
+
+            self.tokenizer = Tokenizer.from_file(self.path)
+            self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         return [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def split(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -116,7 +117,7 @@ class UnitTable:
         first = np.cumsum(counts) - counts
         rest = np.flatnonzero(odd)
         if len(rest):
-            other = self.encode([data[starts[i] : ends[i]].tobytes().decode() for i in rest.tolist()])
+            other = [self.encode_lines(data[starts[i] : ends[i]].tobytes().decode()) for i in rest.tolist()]
             first[rest] = len(ids) + np.cumsum([0, *map(len, other)])[:-1]
             counts[rest] = [len(x) for x in other]
             ids = np.concatenate([ids, np.array([x for o in other for x in o], np.uint32)])

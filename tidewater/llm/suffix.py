@@ -40,7 +40,7 @@ LENGTH = 200
 GRAM = 100
 BATCHES = 4
 FILTER_IDS = 4_000_000
-FLUSH = 1 << 20
+FLUSH = 1 << 19
 _CODES = K.byte_codes()
 
 

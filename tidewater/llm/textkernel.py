@@ -16,7 +16,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 U64 = np.uint64
 _BASE = 0x9E3779B97F4A7C15
 _BASE_INV = pow(_BASE, -1, 1 << 64)
@@ -66,7 +66,7 @@ class _Powers:
 
     def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(self.up) < n + 1:
-            size = max(n + 1, min(2 * len(self.up), 1 << 21), 1 << 16)
+            size = max(n + 1, 1 << 16)
             up, down = np.full(size, _BASE, U64), np.full(size, _BASE_INV, U64)
             up[0] = down[0] = U64(1)
             self.up, self.down = np.cumprod(up, dtype=U64), np.cumprod(down, dtype=U64)
