@@ -25,16 +25,17 @@ def json_number(doc: str | Column, path: str) -> Column:
 def json_set(doc: str | Column, schema: T.StructType, field: str, value: Column | object) -> Column:
     """``JSON_SET(COALESCE(doc, JSON_OBJECT()), '$.field', value)`` keeping value types.
 
-    The document is parsed with a declared struct (so booleans stay booleans and numbers
-    stay numbers), the field is replaced or added, and the struct is written back.
-    Fields outside ``schema`` are not carried, so declare every field the documents hold.
+    The document's top-level fields are read as variants, so every field keeps its value and type, declared
+    or not, null or nested; ``schema`` gives the type of the new value.
     """
     if field not in schema.fieldNames():
         raise ValueError(f"declare {field} in the document schema")
-    empty = F.struct(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
-    parsed = F.coalesce(F.from_json(col(doc), schema), empty)
+    fields = F.from_json(col(doc), "map<string,variant>")
     v = value if isinstance(value, Column) else F.lit(value)
-    return F.to_json(parsed.withField(field, v.cast(schema[field].dataType)))
+    new = F.parse_json(F.coalesce(F.get_json_object(F.to_json(F.struct(v.cast(schema[field].dataType).alias("v"))), "$.v"), F.lit("null"))) \
+        if not isinstance(schema[field].dataType, T.StringType) else v.cast("string").cast("variant")
+    others = F.map_filter(F.coalesce(fields, F.create_map().cast("map<string,variant>")), lambda k, _: k != F.lit(field))
+    return F.to_json(F.map_concat(others, F.create_map(F.lit(field), new)))
 
 
 def xml_field(doc: str | Column, xpath: str) -> Column:

@@ -18,7 +18,7 @@ def regression_metrics(pred: DataFrame, label: str = "label", prediction: str =
         F.count(F.lit(1)).alias("n"),
         F.avg(F.abs(e)).alias("mae"),
         F.sqrt(F.avg(e * e)).alias("rmse"),
-        (F.lit(1.0) - F.sum(e * e) / (F.var_pop(label) * F.count(label))).alias("r2"),
+        (F.lit(1.0) - F.try_divide(F.sum(e * e), F.var_pop(label) * F.count(label))).alias("r2"),
     )
 
 
@@ -82,8 +82,9 @@ def roc_auc(scored: DataFrame, label: str = "label", score: str = "score") -> Da
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg"))
     pos = global_positions(per, ["s"], pos_col="_cum_neg", weight="neg")
     below = F.col("_cum_neg") - F.col("neg")
-    return pos.agg(((F.sum(F.col("pos") * (below + F.col("neg") / 2.0))) /
-                    (F.sum("pos") * F.sum("neg"))).alias("auc"))
+    # null with one class only; doubles, since the product of two counts can pass the range of bigint
+    return pos.agg(F.try_divide(F.sum(F.col("pos") * (below + F.col("neg") / 2.0)),
+                                F.sum("pos").cast("double") * F.sum("neg").cast("double")).alias("auc"))
 
 
 def feature_importances(model, names: Sequence[str], top: int | None = None) -> DataFrame:

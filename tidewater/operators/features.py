@@ -7,6 +7,7 @@ plan stays lazy and nothing but the (capped) one-hot category list reaches the d
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
@@ -102,10 +103,8 @@ def exact_sample(df: DataFrame, key: str, fraction: float | None = None, seed: i
     if cap is not None:
         k = F.least(F.lit(cap), F.col("_n"))
     else:
-        pct = round(fraction * 100)
-        if abs(fraction * 100 - pct) > 1e-9:
-            raise ValueError("fraction must be a whole percent")
-        k = F.floor((F.col("_n") * pct + 50) / 100)  # round half up, in integers
+        share = F.lit(Decimal(str(fraction))).cast("decimal(18,9)")  # decimals: the same size in every engine
+        k = F.floor(F.col("_n").cast("decimal(20,0)") * share + F.lit(Decimal("0.5")))  # round half up
     return pos.where(F.col("_pos") <= k).drop("_h", "_pos", "_n")
 
 

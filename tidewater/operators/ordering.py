@@ -80,7 +80,12 @@ def global_positions(df: DataFrame, order_by: Sequence[str | Column], by: Sequen
     bounded = offsets_bounded if offsets_bounded is not None else not by
     if bounded:
         offsets = F.broadcast(offsets)
-    out = ranged.join(offsets, on=[_PID, *by], how="inner")
+    # null-safe: rows whose group key is null are a group like any other
+    offsets = offsets.withColumnsRenamed({c: f"_o_{c}" for c in [_PID, *by]})
+    same = ranged[_PID] == offsets[f"_o_{_PID}"]
+    for b in by:
+        same = same & ranged[b].eqNullSafe(offsets[f"_o_{b}"])
+    out = ranged.join(offsets, same, "inner").drop(*[f"_o_{c}" for c in [_PID, *by]])
     if weight:
         # running weight inside the slice; the slice is one task's share of one group
         run = Window.partitionBy(_PID, *by).orderBy(_LOCAL).rowsBetween(Window.unboundedPreceding, 0)

@@ -101,15 +101,18 @@ def table_inventory(tables: dict[str, DataFrame], large: int = 10_000, medium: i
 def requirement_dashboard(measures: Sequence[tuple[str, DataFrame, int]]) -> DataFrame:
     """Each requirement is (name, one-row frame with column ``value``, threshold).
 
-    The status is computed from the measured value (the reference printed a literal).
+    The status is computed from the measured value. A measure is (name, one-row frame, threshold) and must
+    reach the threshold, or (.., "at most") and must not pass it.
     """
     parts = [m.select(F.lit(name).alias("requirement"), F.col("value").cast("bigint").alias("value"),
                       F.lit(threshold).cast("bigint").alias("threshold"))
-             for name, m, threshold in measures]
+             .withColumn("_at_most", F.lit(bool(at_most)))
+             for name, m, threshold, *rest in measures for at_most in [rest == ["at most"]]]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out.withColumn("status", F.when(F.col("value") >= F.col("threshold"), "PASS").otherwise("FAIL"))
+    met = F.when(F.col("_at_most"), F.col("value") <= F.col("threshold")).otherwise(F.col("value") >= F.col("threshold"))
+    return out.withColumn("status", F.when(met, "PASS").otherwise("FAIL")).drop("_at_most")
 
 
 # ---------------------------------------------------------------- schema-level helpers (driver side, no data read)

@@ -53,8 +53,8 @@ def search(df: DataFrame, text_col: str, terms: Sequence[str], digits: int = 6)
         .crossJoin(F.broadcast(stats))
     rel = None
     for i in range(len(terms)):
-        idf = F.log10(F.col("_N") / F.col(f"df_{i}"))
-        part = F.col(f"tf_{i}") * idf * idf
+        idf = F.log10(F.try_divide(F.col("_N"), F.col(f"df_{i}")))
+        part = F.coalesce(F.col(f"tf_{i}") * idf * idf, F.lit(0.0))  # a term that no document has adds nothing
         rel = part if rel is None else rel + part
     out = j.withColumn("relevance", F.round(rel, digits)).drop("_N", *[f"df_{i}" for i in range(len(terms))])
     return out

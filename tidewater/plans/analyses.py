@@ -506,7 +506,7 @@ def requirement_dashboard(dom: Domain) -> DataFrame:
         ("provider_links", cnt(dom.encounter_providers()), 200),
         ("patients_with_hba1c", cnt(patients_after_hba1c_update(dom)[0]
                                     .where(json_number("risk_factors", "$.hba1c_last").isNotNull())), 60),
-        ("orphan_encounters", cnt(dom.encounters().join(dom.patients(), "patient_id", "left_anti")), 0),
+        ("orphan_encounters", cnt(dom.encounters().join(dom.patients(), "patient_id", "left_anti")), 0, "at most"),
     ])
 
 

@@ -89,7 +89,7 @@ def sales_trend(t: Tables) -> DataFrame:
     """Revenue per month, previous month and growth in percent (one row per month)."""
     m = monthly_revenue(t)
     m = W.add_lag(m, "revenue", ["month"], "prev_revenue", allow_global=True)
-    return m.withColumn("growth_pct", (F.col("revenue") - F.col("prev_revenue")) / F.col("prev_revenue") * 100)
+    return m.withColumn("growth_pct", F.try_divide(F.col("revenue") - F.col("prev_revenue"), F.col("prev_revenue")) * 100)
 
 
 def profitability(t: Tables) -> DataFrame:
@@ -100,7 +100,7 @@ def profitability(t: Tables) -> DataFrame:
     g = j.groupBy("p_type", "r_name").agg(F.sum("rev").alias("rev"), F.sum("cost").alias("cost"))
     return g.select("p_type", "r_name", F.col("rev").cast("double").alias("revenue"),
                     F.col("cost").cast("double").alias("cost"), (F.col("rev") - F.col("cost")).cast("double").alias("profit"),
-                    ((F.col("rev") - F.col("cost")).cast("double") / F.col("rev").cast("double") * 100).alias("margin_pct"))
+                    (F.try_divide((F.col("rev") - F.col("cost")).cast("double"), F.col("rev").cast("double")) * 100).alias("margin_pct"))
 
 
 def part_revenue(t: Tables) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -10,14 +11,19 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str, null_va
              header: bool = True) -> DataFrame:
     """CSV scan with a declared schema.
 
-    A single sentinel maps to null at read time; for several sentinels the reader
-    keeps them as text and ``functions.expressions.sentinels_to_null`` maps them.
+    Every sentinel maps to null: a single one by the reader itself, several after the columns
+    were read as text, before they are cast to the declared types.
     Numbers that fail to parse become null (PERMISSIVE), like a coercing reader.
     """
-    reader = spark.read.schema(schema).option("header", header).option("mode", "PERMISSIVE")
-    if len(null_values) == 1:
-        reader = reader.option("nullValue", null_values[0])
-    return reader.csv(path)
+    reader = spark.read.option("header", header).option("mode", "PERMISSIVE")
+    if len(null_values) <= 1:
+        reader = reader.option("nullValue", null_values[0]) if null_values else reader
+        return reader.schema(schema).csv(path)
+    declared = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    text = T.StructType([T.StructField(f.name, T.StringType()) for f in declared.fields])
+    raw = reader.schema(text).csv(path)
+    known = lambda c: F.when(~F.col(c).isin(*null_values), F.col(c))
+    return raw.select(*(known(f.name).try_cast(f.dataType).alias(f.name) for f in declared.fields))
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
