@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -91,6 +92,11 @@ class Workspace:
         out._workspace_path = path
         return out
 
+    def tidy(self) -> None:
+        """Lets Spark's cleaner remove the shuffle files of steps whose results are written: it follows the driver's garbage."""
+        gc.collect()
+        self.spark._jvm.System.gc()
+
     def drop(self, df: DataFrame) -> None:
         """Removes a table of this workspace that nothing reads any more."""
         path = getattr(df, "_workspace_path", None)

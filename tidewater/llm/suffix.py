@@ -335,6 +335,7 @@ def removals(texts: DataFrame, work: Workspace, batches: int = BATCHES, length:
     """(content, spans): for each document content, the byte intervals to remove, not yet joined."""
     slices = shuffle_slices(texts.sparkSession)
     keys = repeated_suffixes(texts, work, batches, slices, length, gram)
+    work.tidy()
     rows = work.write(_runs_of(texts, keys, limit, length, gram), "runs")
     runs = rows.where("kind = 1")
     spans = runs.groupBy("span").agg(F.sum("n").alias("n"), F.min(F.struct("content", "first", "last", "key")).alias("at"))
@@ -347,6 +348,7 @@ def removals(texts: DataFrame, work: Workspace, batches: int = BATCHES, length:
     lone = _windows(texts, open_runs, work, limit, slices, length).select("content", "first", (F.col("last") + length).alias("end"))
     local = rows.where("kind = 0").select("content", "first", F.col("last").alias("end"))
     every = work.write(whole.unionByName(local).unionByName(lone), "removals")
+    work.tidy()
     return every.groupBy("content").agg(F.collect_set(F.struct("first", "end")).alias("spans"))
 
 
