@@ -86,4 +86,20 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_language_model,
     )
 }
-ORACLE: dict[str, str] = {}
+_ITEM_WORDS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+ORACLE: dict[str, str] = {
+    "op8_decontamination": f"""
+    WITH item AS (SELECT CAST(item_id AS VARCHAR) AS id, {_ITEM_WORDS} AS w FROM benchmark WHERE item_id IS NOT NULL),
+    win AS (SELECT DISTINCT id, w[k : k + least(len(w), 10) - 1] AS g, least(len(w), 10) AS n
+            FROM (SELECT id, w, unnest(range(1, greatest(len(w) - 10, 0) + 2)) AS k FROM item WHERE len(w) > 0)),
+    doc AS (SELECT row_number() OVER () AS rid, doc_id, coalesce({_ITEM_WORDS}, []) AS w FROM documents),
+    place AS (SELECT rid, k, n, w[k : k + n - 1] AS g
+              FROM (SELECT rid, w, n, unnest(range(1, len(w) - n + 2)) AS k FROM doc CROSS JOIN (SELECT DISTINCT n FROM win))),
+    found AS (SELECT rid, k, place.n AS n, id FROM place JOIN win USING (g)),
+    hit AS (SELECT rid, count(DISTINCT x) AS h FROM (SELECT rid, unnest(range(k, k + n)) AS x FROM found) GROUP BY rid),
+    met AS (SELECT rid, count(*) AS c, string_agg(id, ',' ORDER BY id) AS ids FROM (SELECT DISTINCT rid, id FROM found) GROUP BY rid)
+    SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(h, 0) AS n_hit, coalesce(c, 0) AS n_items,
+           sha256(coalesce(ids, '')) AS items_sha256, coalesce(h, 0) > 0 AS contaminated
+    FROM doc LEFT JOIN hit USING (rid) LEFT JOIN met USING (rid)""",
+}
