@@ -88,7 +88,20 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 _ITEM_WORDS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
+_WORDS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"
+
 ORACLE: dict[str, str] = {
+    "op6_jaccard_join": f"""
+    WITH RECURSIVE doc AS (SELECT row_number() OVER () AS rid, doc_id, coalesce({_WORDS}, []) AS w FROM documents),
+    shingle AS (SELECT DISTINCT rid, CASE WHEN len(w) >= 5 THEN w[k : k + 4] ELSE w END AS s
+                FROM (SELECT rid, w, unnest(range(1, greatest(len(w) - 5, 0) + 2)) AS k FROM doc WHERE len(w) > 0)),
+    size AS (SELECT rid, count(*) AS n FROM shingle GROUP BY rid),
+    common AS (SELECT x.rid AS a, y.rid AS b, count(*) AS c FROM shingle x JOIN shingle y USING (s) WHERE x.rid <> y.rid GROUP BY 1, 2),
+    link AS (SELECT a, b FROM common JOIN size x ON x.rid = a JOIN size y ON y.rid = b WHERE 100 * c >= 75 * (x.n + y.n - c)),
+    reach(a, b) AS (SELECT rid, rid FROM doc UNION SELECT reach.a, link.b FROM reach JOIN link ON link.a = reach.b),
+    least_id AS (SELECT reach.a AS rid, min(doc.doc_id) AS component_id FROM reach JOIN doc ON doc.rid = reach.b GROUP BY 1)
+    SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id
+    FROM doc JOIN least_id USING (rid) LEFT JOIN size USING (rid)""",
     "op8_decontamination": f"""
     WITH item AS (SELECT CAST(item_id AS VARCHAR) AS id, {_ITEM_WORDS} AS w FROM benchmark WHERE item_id IS NOT NULL),
     win AS (SELECT DISTINCT id, w[k : k + least(len(w), 10) - 1] AS g, least(len(w), 10) AS n
