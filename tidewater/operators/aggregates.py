@@ -70,7 +70,8 @@ def describe(df: DataFrame, columns: Sequence[str], digits: int = 6) -> DataFram
     w, v = F.col("_w"), F.col("value")
     first = counts.groupBy("column").agg(F.sum(w).alias("count"), (F.sum(v * w) / F.sum(w)).alias("mean"),
                                          F.min(v).alias("min"), F.max(v).alias("max"))
-    spread = counts.join(first.select("column", "mean", "count"), "column").groupBy("column").agg(
+    # one row per named column: a bounded side, and each column's values stay where they are
+    spread = counts.join(F.broadcast(first.select("column", "mean", "count")), "column").groupBy("column").agg(
         F.sqrt(F.sum(w * (v - F.col("mean")) * (v - F.col("mean"))) / F.nullif(F.first("count") - 1, F.lit(0)))
         .alias("std"))
     qs = exact_quantiles(counts, "value", {"p25": 0.25, "p50": 0.5, "p75": 0.75}, by=["column"], weight="_w")

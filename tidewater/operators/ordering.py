@@ -27,6 +27,9 @@ from pyspark.sql import functions as F
 from ..functions.expressions import col
 from ..session import cut_lineage
 
+#: Sub-groups of a group in ``top_k_per_group`` by row number.
+TOP_K_SALTS = 64
+
 _PID, _LOCAL, _BASE, _GROUP_N = "_tw_pid", "_tw_local", "_tw_base", "_tw_group_n"
 
 
@@ -164,7 +167,8 @@ def top_k_per_group(df: DataFrame, by: Sequence[str], order_by: Sequence[str | t
     first ascending and last descending, as in SQL. First rank inside (group, salt)
     sub-groups and keep rank <= k -- every row with a group rank <= k survives, because its
     sub-group rank can only be smaller. ``row_number`` then ranks the survivors (at most
-    k * salts per group). ``rank`` / ``dense_rank`` rank the distinct order values among the
+    k * ``TOP_K_SALTS`` per group, whatever the number of shuffle partitions; Spark's window group limit
+    also keeps at most k rows per sub-group in each task before the shuffle). ``rank`` / ``dense_rank`` rank the distinct order values among the
     survivors (also at most k * salts per group) and join the ranks back, so a hot group
     full of ties is never sorted in one task.
     """
@@ -172,8 +176,9 @@ def top_k_per_group(df: DataFrame, by: Sequence[str], order_by: Sequence[str | t
     by = list(by)
     specs = [(o, True) if isinstance(o, str) else (o[0], bool(o[1])) for o in order_by]
     sort_cols = [F.col(c).asc_nulls_first() if asc else F.col(c).desc_nulls_last() for c, asc in specs]
-    salts = salt_buckets or _partitions(df, None)
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(salts))
+    salts = salt_buckets or (TOP_K_SALTS if rank == "row_number" else _partitions(df, None))
+    # the reading task's number spreads rows that are equal in every column; a retried task gets the same salts
+    salt = F.pmod(F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in df.columns]), F.lit(salts))
     sub = Window.partitionBy(*by, "_salt").orderBy(*sort_cols)
     pre = df.withColumn("_salt", salt).withColumn("_r", fn().over(sub)).where(F.col("_r") <= k).drop("_r", "_salt")
     full = Window.partitionBy(*by) if by else Window.partitionBy()

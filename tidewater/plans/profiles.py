@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.expressions import corr_safe, decade_label, round_ratio, three_way_category
 from ..operators import aggregates as A
-from ..operators.features import exact_sample
+from ..operators.features import exact_sample, stratified_label
 from ..operators.ordering import exact_quantiles, row_of_extreme
 from .analyses import patient_risk_profile
 from .domain import Domain, indicators
@@ -123,7 +123,7 @@ def q15_top5_gdp(dom: Domain) -> DataFrame:
 
 def q15_growth_by_decade(dom: Domain) -> DataFrame:
     df = indicators(dom)
-    return df.groupBy(decade_label("Year").alias("Decade")).agg(exact_mean("GDPGrowth", 0).alias("GDPGrowth"))
+    return df.groupBy(decade_label("Year").alias("Decade")).agg(exact_mean("GDPGrowth", 6).alias("GDPGrowth"))
 
 
 def q15_extremes(dom: Domain) -> DataFrame:
@@ -233,7 +233,4 @@ def capped_sample(dom: Domain) -> DataFrame:
 def stratified_split(dom: Domain, train_fraction: float = 0.7, seed: int = 42) -> DataFrame:
     """M7: 70/30 split of the classification dataset keeping class shares (per-class exact counts)."""
     df = _classification(dom, pin=True).select("patient_id", "readmission_30d_binary")
-    train = exact_sample(df, "patient_id", fraction=train_fraction, seed=seed, by=["readmission_30d_binary"]) \
-        .select("patient_id", F.lit("train").alias("split"))
-    return df.join(train, "patient_id", "left").select(
-        "patient_id", "readmission_30d_binary", F.coalesce("split", F.lit("test")).alias("split"))
+    return stratified_label(df, "patient_id", "readmission_30d_binary", train_fraction, seed)

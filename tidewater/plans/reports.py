@@ -36,6 +36,14 @@ def line_values(t: Tables) -> DataFrame:
     )
 
 
+def line_revenue(t: Tables) -> DataFrame:
+    """Per line: revenue = price * (1 - discount) as an exact decimal; reads line items only."""
+    li = t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount",
+                           "l_returnflag")
+    return li.select("l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag",
+                     (_dec("l_extendedprice") * (F.lit(1).cast("decimal(18,2)") - _dec("l_discount"))).alias("revenue"))
+
+
 def geography(t: Tables) -> DataFrame:
     """nation -> region names; 25 rows at any scale, so broadcast."""
     n, r = t.nation, t.region
@@ -79,7 +87,7 @@ def kpis(t: Tables) -> DataFrame:
 
 
 def monthly_revenue(t: Tables) -> DataFrame:
-    per_order = line_values(t).groupBy("l_orderkey").agg(F.sum("revenue").alias("rev"))
+    per_order = line_revenue(t).groupBy("l_orderkey").agg(F.sum("revenue").alias("rev"))
     o = t.orders.select("o_orderkey", F.trunc(F.col("o_orderdate").cast("date"), "MM").alias("month"))
     return per_order.join(o, F.col("l_orderkey") == F.col("o_orderkey")).groupBy("month") \
         .agg(F.sum("rev").cast("double").alias("revenue"))
@@ -104,9 +112,11 @@ def profitability(t: Tables) -> DataFrame:
 
 
 def part_revenue(t: Tables) -> DataFrame:
-    lv = line_values(t)
-    return lv.groupBy("l_partkey", "p_type").agg(F.sum("revenue").cast("double").alias("revenue"),
-                                                 F.sum("l_quantity").alias("quantity"))
+    """Revenue and quantity of every part: lines are summed per part before the part is joined."""
+    per = line_revenue(t).groupBy("l_partkey").agg(F.sum("revenue").cast("double").alias("revenue"),
+                                                   F.sum("l_quantity").alias("quantity"))
+    part = t.part.select("p_partkey", "p_type")
+    return per.join(part, per.l_partkey == part.p_partkey).select("l_partkey", "p_type", "revenue", "quantity")
 
 
 def top_products(t: Tables, k: int = 10) -> DataFrame:
@@ -169,8 +179,7 @@ def stock_levels(t: Tables, initial_per_size: int = 10, threshold: int = 0) -> D
 
 def supplier_performance(t: Tables) -> DataFrame:
     """Per supplier -- lines, quantity shipped, distinct parts, return rate, revenue."""
-    lv = line_values(t)
-    return lv.groupBy("l_suppkey").agg(
+    return line_revenue(t).groupBy("l_suppkey").agg(
         F.count(F.lit(1)).alias("lines"),
         F.sum(_dec("l_quantity")).cast("double").alias("quantity"),
         F.count_distinct("l_partkey").alias("parts"),
@@ -199,7 +208,7 @@ def revenue_forecast(t: Tables, horizon: int = 6, season: int = 12) -> DataFrame
 
 def region_priority_heatmap(t: Tables) -> DataFrame:
     """Revenue by region (rows) and order priority (columns)."""
-    per_order = line_values(t).groupBy("l_orderkey").agg(F.sum("revenue").alias("rev"))
+    per_order = line_revenue(t).groupBy("l_orderkey").agg(F.sum("revenue").alias("rev"))
     j = per_order.join(_order_customer_region(t).select("o_orderkey", "r_name", "o_orderpriority"),
                        F.col("l_orderkey") == F.col("o_orderkey"))
     p = j.groupBy("r_name").pivot("o_orderpriority", list(ORDER_PRIORITIES)).agg(F.sum("rev"))

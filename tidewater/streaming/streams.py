@@ -4,8 +4,8 @@
   snapshot (latest value per key) and writes audit rows; outputs are versioned by batch
   id and overwritten on replay, so a re-run batch gives the same files.
 * ST2 ``windowed_volume``: tumbling-window counts per event type with a watermark; rows
-  later than the watermark are dropped (append mode), the final state equals the batch
-  aggregate (complete mode).
+  later than the watermark are dropped and closed windows leave the state (append mode), or the whole
+  state equals the batch aggregate (complete mode).
 * ST3 ``deduplicated``: ``dropDuplicatesWithinWatermark`` on the event key.
 
 Sinks write files into the shared checkpoint folder named by the session; nothing is
@@ -66,12 +66,14 @@ def run_available_now(df: DataFrame, out_path: str, checkpoint: str, mode: str =
     if mode == "append":
         q = df.writeStream.format("parquet").option("path", out_path).option("checkpointLocation", checkpoint) \
             .outputMode("append").trigger(availableNow=True).start()
-    else:
+    elif mode == "complete":
         def write(batch: DataFrame, batch_id: int) -> None:
-            # complete/update result of this trigger replaces the previous one
+            # the complete result of this trigger replaces the previous one
             batch.write.mode("overwrite").parquet(out_path)
         q = df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).outputMode(mode) \
             .trigger(availableNow=True).start()
+    else:  # an update holds changed rows only; files that replace each other would lose the rest
+        raise ValueError(f"output mode {mode!r}: append and complete are supported")
     q.awaitTermination()
 
 
@@ -104,22 +106,30 @@ def audit_stream(stream: DataFrame, root: str, key: str = "user_id", value: str
     """ST1: returns a ``foreachBatch`` function applying each batch to the snapshot with audit rows.
 
     For every key in the batch its last value (by ``order`` then ``tiebreak``) replaces the
-    snapshot value; audit rows say INSERT (new key) or UPDATE (old -> new value). A replayed
+    snapshot value if it is later than the one stored there, so a late event never undoes a newer one
+    and leaves no audit row. Audit rows say INSERT (new key) or UPDATE (old -> new value); a key whose
+    stored value is null is known all the same, and a null key is a key like any other. A replayed
     batch reads the same older version and rewrites its own partitions: idempotent.
     """
     spark = stream.sparkSession
     snap_root, audit_root = f"{root}/snapshot", f"{root}/audit"
-    schema = f"{key} long, {value} double"
+    columns = [key, value, order, tiebreak]
+    types = dict(stream.select(*columns).dtypes)
+    schema = ", ".join(f"`{c}` {types[c]}" for c in columns)
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        last = batch.groupBy(key).agg(F.max_by(F.struct(value), F.struct(order, tiebreak)).alias("_v")) \
-            .select(key, F.col(f"_v.{value}").alias(value))
-        old = _snapshot_before(spark, snap_root, batch_id, schema).select(key, value)
-        j = last.join(old.select(key, F.col(value).alias("_old")), key, "left")
-        audit = j.select(key, F.when(F.col("_old").isNull(), "INSERT").otherwise("UPDATE").alias("action"),
-                         F.col("_old").cast("string").alias("old_value"), F.col(value).cast("string").alias("new_value"))
+        newest = F.max(F.struct(order, tiebreak, value)).alias("_v")
+        last = batch.groupBy(key).agg(newest).select(key, *[F.col(f"_v.{c}").alias(c) for c in columns[1:]])
+        old = _snapshot_before(spark, snap_root, batch_id, schema).select(*columns)
+        stored = old.select(*[F.col(c).alias(f"_old_{c}") for c in columns], F.lit(True).alias("_known"))
+        j = last.join(stored, F.col(key).eqNullSafe(F.col(f"_old_{key}")), "left")
+        j = j.where(F.col("_known").isNull()
+                    | (F.struct(order, tiebreak) > F.struct(F.col(f"_old_{order}"), F.col(f"_old_{tiebreak}"))))
+        audit = j.select(key, F.when(F.col("_known").isNull(), "INSERT").otherwise("UPDATE").alias("action"),
+                         F.col(f"_old_{value}").cast("string").alias("old_value"), F.col(value).cast("string").alias("new_value"))
         _write_version(audit, audit_root, batch_id)
-        _write_version(old.join(last.select(key), key, "left_anti").unionByName(last), snap_root, batch_id)
+        latest = old.unionByName(last.select(*columns)).groupBy(key).agg(newest)
+        _write_version(latest.select(key, *[F.col(f"_v.{c}").alias(c) for c in columns[1:]]), snap_root, batch_id)
 
     return apply
 
@@ -132,21 +142,36 @@ def run_audit_stream(stream: DataFrame, root: str, checkpoint: str, **kw) -> Non
 
 # ---------------------------------------------------------------- registered forms over the driver's events table
 
+def _arrivals(spark: SparkSession, sf_dir: str, root: str, slices: int = 3):
+    """Write the events into an input folder slice by slice (event_id modulo ``slices``, so times overlap and many
+    events arrive late); yields after each slice has arrived."""
+    events = spark.read.schema(REGISTRY["events"].schema).parquet(f"{sf_dir}/events.parquet")
+    for i in range(slices):
+        events.where(F.pmod("event_id", F.lit(slices)) == i).write.mode("append").parquet(f"{root}/in")
+        yield i
+
+
 def st1_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST1 over three arrivals of events: one micro-batch each, with inserts, updates and late events."""
     root = scratch_path(spark, "st1")
-    run_audit_stream(event_stream(spark, f"{sf_dir}/events.parquet"), root, f"{root}/_checkpoint")
-    return spark.read.parquet(f"{root}/audit").select("user_id", "action", "old_value", "new_value")
+    for _ in _arrivals(spark, sf_dir, root):
+        run_audit_stream(event_stream(spark, f"{root}/in"), root, f"{root}/_checkpoint")
+    return spark.read.parquet(f"{root}/audit").select("batch_id", "user_id", "action", "old_value", "new_value")
 
 
 def st2_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST2 in append mode: windows are written once the watermark has passed their end, and their state is let go."""
     root = scratch_path(spark, "st2")
     run_available_now(windowed_volume(event_stream(spark, f"{sf_dir}/events.parquet")), f"{root}/out",
-                      f"{root}/_checkpoint", mode="complete")
+                      f"{root}/_checkpoint")
     return spark.read.parquet(f"{root}/out")
 
 
 def st3_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST3 over the events and a second delivery of every third user's events."""
     root = scratch_path(spark, "st3")
-    run_available_now(deduplicated(event_stream(spark, f"{sf_dir}/events.parquet")), f"{root}/out", f"{root}/_checkpoint")
+    once = event_stream(spark, f"{sf_dir}/events.parquet")
+    again = event_stream(spark, f"{sf_dir}/events.parquet").where(F.col("user_id") % 3 == 0)
+    run_available_now(deduplicated(once.unionByName(again)), f"{root}/out", f"{root}/_checkpoint")
     out = spark.read.parquet(f"{root}/out")
     return out.withColumn("ts", F.col("ts").cast("timestamp_ntz")).select(*REGISTRY["events"].schema.fieldNames())
