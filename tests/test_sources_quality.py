@@ -55,8 +55,8 @@ def test_schema_helpers(spark):
         QA.rename_required(df, {"Usage": "usage_kwh"})
     prof = {r.column: (r.type, r.rows, r.columns) for r in QA.frame_profile(df).collect()}
     assert prof == {"a": ("int", 1, 3), "b": ("double", 1, 3), "c": ("string", 1, 3)}
-    inv = QA.column_inventory({"t": df}, type_names=["string"], name_like="a*")
-    assert sorted(inv) == [("t", "a", "int"), ("t", "c", "string")]
+    inv = QA.column_inventory({"t": df}, type_names=["string"], name_like="a%")
+    assert sorted(tuple(r) for r in inv.collect()) == [("t", "a", "int"), ("t", "c", "string")]
 
 
 def test_insert_child_and_manual_audit(spark):

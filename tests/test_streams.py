@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidewater.sources.tables import REGISTRY
@@ -71,3 +72,23 @@ def test_windowed_volume_with_approximate_users(spark, tmp_dir):
     ST.run_available_now(ST.windowed_volume(stream, approx_users=True), f"{tmp_dir}/out", f"{tmp_dir}/ck", mode="complete")
     r = spark.read.parquet(f"{tmp_dir}/out").first()
     assert (r.events, r.approx_users) == (3, 2)
+
+
+def test_late_events_and_null_values_in_the_audit_stream(spark, tmp_dir):
+    src = write_batches(spark, tmp_dir, [[ev(1, 50, 1, 20.0), ev(2, 50, 2, None), ev(3, 50, None, 1.0)],
+                                         [ev(4, 8, 1, 10.0), ev(5, 60, 2, 3.0), ev(6, 60, None, 2.0)]])
+    stream = ST.event_stream(spark, src, max_files_per_trigger=1)
+    root = f"{tmp_dir}/audit"
+    ST.run_audit_stream(stream, root, f"{tmp_dir}/ck")
+    audit = {(r.batch_id, r.user_id, r.action, r.old_value, r.new_value) for r in spark.read.parquet(f"{root}/audit").collect()}
+    assert audit == {(0, 1, "INSERT", None, "20.0"), (0, 2, "INSERT", None, None), (0, None, "INSERT", None, "1.0"),
+                     (1, 2, "UPDATE", None, "3.0"), (1, None, "UPDATE", "1.0", "2.0")}
+    snap = spark.read.parquet(f"{root}/snapshot").where(F.col("batch_id") == 1)
+    assert {(r.user_id, r.value) for r in snap.collect()} == {(1, 20.0), (2, 3.0), (None, 2.0)}
+
+
+def test_update_mode_is_refused(spark, tmp_dir):
+    src = write_batches(spark, tmp_dir, [[ev(1, 5, 1, 1.0)]])
+    volume = ST.windowed_volume(ST.event_stream(spark, src))
+    with pytest.raises(ValueError):
+        ST.run_available_now(volume, f"{tmp_dir}/out", f"{tmp_dir}/ck", mode="update")

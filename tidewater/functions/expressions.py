@@ -88,6 +88,7 @@ def season(month: str | Column) -> Column:
     return bin_right_closed(month, SEASON_EDGES, SEASON_LABELS)
 
 
+# The bounds and labels of the decades are inside this expression.
 def decade_label(year: str | Column) -> Column:
     """1990s for 1990-1999, 2000s for 2000-2009, 2010s for 2010-2020, else Other (also null)."""
     y = col(year)
@@ -115,6 +116,11 @@ def to_number(c: str | Column) -> Column:
     return F.trim(col(c).cast("string")).try_cast("double")
 
 
+def to_timestamp(c: str | Column, pattern: str = "yyyy-MM-dd HH:mm:ss") -> Column:
+    """text to timestamp by a pattern; text that does not fit it becomes null instead of raising."""
+    return F.try_to_timestamp(F.trim(col(c).cast("string")), F.lit(pattern))
+
+
 def sentinels_to_null(df: DataFrame, sentinels: Sequence[str] = ("Not Available",),
                       columns: Sequence[str] | None = None) -> DataFrame:
     """F8: every string column equal to a sentinel becomes null."""

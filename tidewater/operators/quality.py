@@ -126,16 +126,14 @@ def frame_profile(df: DataFrame) -> DataFrame:
     return schema_rows.crossJoin(F.broadcast(n)).withColumn("columns", F.lit(len(df.columns)))
 
 
-def column_inventory(tables: dict[str, DataFrame], type_names: Sequence[str] = (), name_like: str | None = None):
-    """(table, column, type) for columns of given types or whose name matches a pattern."""
-    import fnmatch
-    rows = []
-    for t, df in tables.items():
-        for f in df.schema.fields:
-            ok = f.dataType.simpleString() in type_names or (name_like and fnmatch.fnmatch(f.name, name_like))
-            if ok:
-                rows.append((t, f.name, f.dataType.simpleString()))
-    return rows
+def column_inventory(tables: dict[str, DataFrame], type_names: Sequence[str] = (),
+                     name_like: str | None = None) -> DataFrame:
+    """Rows (table_name, column_name, data_type) for columns of given types or with a name LIKE the pattern."""
+    spark = next(iter(tables.values())).sparkSession
+    rows = [(t, f.name, f.dataType.simpleString()) for t, df in tables.items() for f in df.schema.fields]
+    out = spark.createDataFrame(rows, "table_name string, column_name string, data_type string")
+    wanted = F.col("data_type").isin(list(type_names))
+    return out.where(wanted | F.col("column_name").like(name_like) if name_like else wanted)
 
 
 def select_by_type(df: DataFrame, kinds=(T.IntegerType, T.LongType, T.DoubleType, T.FloatType, T.DecimalType)):

@@ -6,13 +6,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.expressions import case_value
+from ..functions.expressions import case_value, millions, sentinels_to_null, to_number, to_timestamp
 from ..operators import aggregates as A
+from ..operators import evaluation as EV
 from ..operators import features as FE
 from ..operators.ordering import surrogate_keys
 from ..operators.quality import non_constant_columns
 from ..sources.rows import resolve_natural_keys
-from ..sources.tables import Tables
+from ..sources.tables import Tables, read_sql
 from . import energy as EN
 from .domain import Domain
 
@@ -136,3 +137,99 @@ def variance_selection(t: Tables, min_variance: float = 0.0) -> DataFrame:
     # seven significant digits: the last digits of a large variance depend on the summation algorithm
     return out.select("feature", F.format_string("%.6e", "variance").alias("variance"),
                       (F.col("variance") > min_variance).alias("keep"))
+
+
+def price_rule(t: Tables) -> DataFrame:
+    """A fixed predictor over all orders: an expensive order is taken for a finished one.
+
+    Its predictions can be written in SQL, so the evaluation operators can be held against it.
+    """
+    o = t.orders.where(F.col("o_orderstatus").isNotNull() & F.col("o_totalprice").isNotNull())
+    return o.select("o_orderkey", (F.col("o_orderstatus") == "F").cast("int").alias("label"),
+                    (F.col("o_totalprice") > 150000).cast("int").alias("prediction"), F.col("o_totalprice").alias("score"))
+
+
+def rule_report(t: Tables) -> DataFrame:
+    """M16 on the price rule."""
+    rep = EV.classification_report(price_rule(t))
+    return rep.select("cls", "support", *[F.round(c, 9).alias(c) for c in ("precision", "recall", "f1")])
+
+
+def rule_confusion_auc(t: Tables) -> DataFrame:
+    """M17 on the price rule: confusion cells and the exact ROC-AUC of the price as a score."""
+    rule = price_rule(t)
+    return EV.confusion_matrix(rule).crossJoin(F.broadcast(EV.roc_auc(rule).select(F.round("auc", 9).alias("auc"))))
+
+
+def baseline_residuals(t: Tables, bins: int = 50) -> DataFrame:
+    """Histogram of the residuals of order prices against the mean price of their priority."""
+    o = t.orders.where(F.col("o_totalprice").isNotNull() & F.col("o_orderpriority").isNotNull())
+    means = o.groupBy("o_orderpriority").agg(
+        F.round(F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double") / F.count(F.lit(1)), 2).alias("prediction"))
+    pred = o.join(means, "o_orderpriority").withColumnRenamed("o_totalprice", "label")
+    res = EV.residuals(pred).select(F.round("residual", 2).alias("residual"))
+    return A.histogram(res, "residual", bins).select("bin", F.round("lower", 4).alias("lower"), F.round("upper", 4).alias("upper"),
+                                                     "count")
+
+
+def train_test_metrics(t: Tables) -> DataFrame:
+    """Metrics of the training mean on the training rows and on the test rows."""
+    ft = EN.feature_table(t).withColumn("split", FE.hash_split("entry_id", 80, 42))
+    scored = EV.mean_baseline(ft.where(F.col("split") == "train"), ft, "log_usage_kwh")
+    m = EV.regression_metrics(scored, "log_usage_kwh", by=["split"])
+    return m.select("split", "n", F.round("mae", 6).alias("mae"), F.round("rmse", 6).alias("rmse"),
+                    F.round("r2", 6).alias("r2"))
+
+
+def coerced_fields(t: Tables) -> DataFrame:
+    """Order fields arrive as text with sentinels, blanks and broken dates, and are coerced."""
+    key = F.col("o_orderkey")
+    price = F.col("o_totalprice").cast("decimal(18,2)").cast("string")
+    day = F.date_format(F.col("o_orderdate").cast("timestamp"), "yyyy-MM-dd HH:mm:ss")
+    raw = t.orders.select(
+        "o_orderkey",
+        F.when(key % 11 == 0, "Not Available").when(key % 13 == 0, " ").when(key % 17 == 0, "12x").otherwise(price).alias("price"),
+        F.when(key % 7 == 0, "Not Available").when(key % 5 == 0, "no date").otherwise(day).alias("placed"))
+    clean = sentinels_to_null(raw)
+    return clean.select("o_orderkey", to_number("price").alias("price"), F.round(millions(to_number("price")), 6).alias("price_millions"),
+                        to_timestamp("placed").cast("timestamp_ntz").alias("placed"), F.col("price").isNull().alias("price_sentinel"))
+
+
+def line_key_duplicates(t: Tables) -> DataFrame:
+    """U5 on (order, line number), which the data repeats."""
+    return A.duplicate_counts(t.lineitem.select("l_orderkey", "l_linenumber"))
+
+
+def distinct_line_keys(t: Tables) -> DataFrame:
+    """U4: the distinct (order, line number) pairs."""
+    return t.lineitem.select("l_orderkey", "l_linenumber").dropDuplicates()
+
+
+def usage_log_by_month(t: Tables) -> DataFrame:
+    """Mean of the log usage per calendar month."""
+    e = EN.electric_entries(t)
+    return e.groupBy(F.month("start_date").alias("calendar_month")).agg(
+        F.round(F.avg(F.log1p("usage_kwh")), 6).alias("mean_log_usage"), F.count(F.lit(1)).alias("entries"))
+
+
+def intensity(t: Tables) -> DataFrame:
+    """Energy intensity: usage per square foot of every entry of the feature table."""
+    ft = EN.feature_table(t)
+    return ft.select("entry_id", "occupancy", F.try_divide("usage_kwh", "gross_floor_area").alias("kwh_per_sqft"))
+
+
+def intensity_describe(t: Tables) -> DataFrame:
+    """A19 of the intensity."""
+    return A.describe(intensity(t), ["kwh_per_sqft"])
+
+
+def occupancy_grid(t: Tables) -> DataFrame:
+    """Grid of occupancy against intensity."""
+    return A.density_grid(intensity(t), "occupancy", "kwh_per_sqft", 5.0, 10.0)
+
+
+def read_through_sql(t: Tables) -> DataFrame:
+    """A parameterised query over the registered tables, read as a frame."""
+    return read_sql(t.spark, t.sf_dir, """SELECT c.c_mktsegment, COUNT(*) AS orders, MAX(o.o_totalprice) AS largest
+        FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey WHERE o.o_totalprice > :least GROUP BY c.c_mktsegment""",
+                    {"least": 100000.0})

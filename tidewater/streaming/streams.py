@@ -119,7 +119,7 @@ def audit_stream(stream: DataFrame, root: str, key: str = "user_id", value: str
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         newest = F.max(F.struct(order, tiebreak, value)).alias("_v")
-        last = batch.groupBy(key).agg(newest).select(key, *[F.col(f"_v.{c}").alias(c) for c in columns[1:]])
+        last = batch.select(*[F.col(c).cast(types[c]).alias(c) for c in columns]).groupBy(key).agg(newest).select(key, *[F.col(f"_v.{c}").alias(c) for c in columns[1:]])
         old = _snapshot_before(spark, snap_root, batch_id, schema).select(*columns)
         stored = old.select(*[F.col(c).alias(f"_old_{c}") for c in columns], F.lit(True).alias("_known"))
         j = last.join(stored, F.col(key).eqNullSafe(F.col(f"_old_{key}")), "left")
