@@ -91,6 +91,24 @@ _ITEM_WORDS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
 _WORDS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"
 
 ORACLE: dict[str, str] = {
+    # texts as hex digits, in overlapping blocks of 256 windows, as taking a part from far inside a long text is slow
+    "op4_suffix_dedup": """
+    WITH doc AS (SELECT row_number() OVER () AS rid, doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+    block AS (SELECT rid, j, x[512 * j + 1 : 512 * j + 910] AS y
+              FROM (SELECT rid, x, unnest(range((len(x) // 2 - 200) // 256 + 1)) AS j FROM doc WHERE len(x) >= 400)),
+    place AS (SELECT rid, 256 * j + i AS k, y[2 * i - 1 : 2 * i + 398] AS s
+              FROM (SELECT rid, j, y, unnest(range(1, len(y) // 2 - 198)) AS i FROM block)),
+    found AS (SELECT rid, k FROM (SELECT rid, k, count(*) OVER (PARTITION BY s) AS c FROM place) WHERE c > 1),
+    step AS (SELECT rid, k, CASE WHEN k - lag(k) OVER (PARTITION BY rid ORDER BY k) <= 200 THEN 0 ELSE 1 END AS fresh FROM found),
+    run AS (SELECT rid, min(k) AS a, max(k) + 200 AS z
+            FROM (SELECT rid, k, sum(fresh) OVER (PARTITION BY rid ORDER BY k) AS r FROM step) GROUP BY rid, r),
+    gap AS (SELECT rid, z, x[2 * z - 1 : 2 * coalesce(lead(a) OVER (PARTITION BY rid ORDER BY a), len(x) // 2 + 1) - 2] AS piece
+            FROM (SELECT rid, a, z FROM run UNION ALL SELECT rid, 0, 1 FROM doc) JOIN doc USING (rid)),
+    left_over AS (SELECT rid, string_agg(piece, '' ORDER BY z) AS kept FROM gap GROUP BY rid),
+    cut AS (SELECT rid, sum(z - a) AS n_removed, count(*) AS n_spans FROM run GROUP BY rid)
+    SELECT doc_id, len(x) // 2 AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+           sha256(unhex(kept)) AS kept_sha256
+    FROM doc JOIN left_over USING (rid) LEFT JOIN cut USING (rid)""",
     "op6_jaccard_join": f"""
     WITH RECURSIVE doc AS (SELECT row_number() OVER () AS rid, doc_id, coalesce({_WORDS}, []) AS w FROM documents),
     shingle AS (SELECT DISTINCT rid, CASE WHEN len(w) >= 5 THEN w[k : k + 4] ELSE w END AS s
