@@ -152,7 +152,7 @@ def exact_quantiles(df: DataFrame, value: str, quantiles: dict[str, float], by:
 
 def kth_smallest(df: DataFrame, order_by: Sequence[str], k: Column | int, by: Sequence[str] = (),
                  num_partitions: int | None = None) -> DataFrame:
-    """The row holding position ``k`` in ``order_by`` order (per ``by`` group), lazily."""
+    """The row holding position ``k`` in ``order_by`` order (per ``by`` group)."""
     pos = global_positions(df.select(*by, *order_by), order_by, by, pos_col="_p", count_col="_n",
                            num_partitions=num_partitions)
     kk = k if isinstance(k, Column) else F.lit(k)
