@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from tidewater.llm import common, language_model
+from tidewater.llm import common, language_model, toxicity
 from tidewater.llm import textkernel as K
 
 
@@ -26,3 +26,17 @@ def test_language_model_learns_at_every_position(spark):
         met.append(language_model.history(tokens, vocabulary.classes(tokens)))
     rows = np.unique(np.concatenate(met))
     assert np.abs(model.weights[rows]).max(1).min() > 0  # no context met in training keeps its first weights
+
+
+def test_toxicity_of_words_toxic_only_together(spark):
+    r = random.Random(1)
+    rows, labels = [], []
+    for k in range(1600):
+        first, second = r.choice(["alpha", "bravo"]), r.choice(["xylem", "yield"])
+        text = [first, second, *(f"w{r.randrange(1500)}" for _ in range(6))]
+        r.shuffle(text)
+        rows.append((k, " ".join(text)))
+        labels.append((k, int((first == "alpha") == (second == "xylem"))))
+    scored = toxicity.score_toxicity(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int"))
+    held = [x for x in scored.collect() if x.held_out]
+    assert np.mean([x.predicted == labels[x.doc_id][1] for x in held]) > 0.95
