@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from tidewater.llm import common, language_model, toxicity
+from tidewater.llm import common, language, language_model, rules, toxicity
 from tidewater.llm import textkernel as K
 
 
@@ -40,3 +40,15 @@ def test_toxicity_of_words_toxic_only_together(spark):
     scored = toxicity.score_toxicity(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int"))
     held = [x for x in scored.collect() if x.held_out]
     assert np.mean([x.predicted == labels[x.doc_id][1] for x in held]) > 0.95
+
+
+def test_every_language_has_a_reference(spark):
+    codes = [f"l{i:02d}" for i in range(70)]
+    speech = lambda code, seed: " ".join(random.Random(seed * 1000 + i).choice("aeiou") + code + str(random.Random(seed * 999 + i).randrange(15)) for i in range(90 + int(code[1:])))
+    rows = [(k * 100 + j, speech(code, k * 100 + j), code) for k, code in enumerate(codes) for j in range(14)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    judged = {r.doc_id: r for r in rules.quality_rules(docs).collect()}
+    assert {i: judged[i].language for i, _, _ in rows} == {i: code for i, _, code in rows}
+    assert language.text_models(docs).languages == codes
+    pages = spark.createDataFrame([(k, None, f"<p>{speech(code, k)}</p>") for k, code in enumerate(codes)], "page_id long, url string, html string")
+    assert {r.page_id: r.lang for r in language.identify(pages, docs).collect()} == dict(enumerate(codes))

@@ -9,7 +9,7 @@
 
 The reliability of markup and address, P(declared | language), and the priors are learnt from all pages by grouped sums of the
 text posteriors, so no hand-set trust in either is needed. Sums are combined within tasks before the shuffle; a host with a
-third of all pages is one row after that. Languages are those of the documents, at most ``MAX_LANGUAGES`` by size.
+third of all pages is one row after that. Languages are all those of the documents; a model has 128 KB.
 
 Defined cases: a null or empty page has no text evidence, a null address no host (one group of its own); without labelled
 documents the language is null; pages whose evidence is even get the language first by name; repeated rows give repeated results
@@ -30,7 +30,6 @@ from . import textkernel as K
 from .common import Workspace
 from .html import extract
 
-MAX_LANGUAGES = 64
 TRIGRAMS = 1 << 14
 TEMPER = 4.0
 TEXT_BOUND = 30.0
@@ -55,8 +54,9 @@ def trigrams(chunk: K.Chunk) -> tuple[np.ndarray, np.ndarray]:
 class TextModels:
     def __init__(self, languages: list[str], counts: np.ndarray):
         self.languages = languages
-        share = (counts + 0.5) / (counts.sum(1, keepdims=True) + 0.5 * TRIGRAMS)
-        self.log = np.log(share)
+        self.log = counts + 0.5
+        for row in self.log:  # a language at a time: the table exists twice at most
+            row[:] = np.log(row / row.sum())
 
     def evidence(self, chunk: K.Chunk) -> np.ndarray:
         """Bounded log likelihoods relative to the best language, one row per text."""
@@ -65,7 +65,7 @@ class TextModels:
         return np.maximum((total - total.max(1, keepdims=True)) / TEMPER, -TEXT_BOUND)
 
 
-def text_models(documents: DataFrame, max_languages: int = MAX_LANGUAGES) -> TextModels | None:
+def text_models(documents: DataFrame) -> TextModels | None:
     def count(batches):
         totals: dict[str, np.ndarray] = {}
         for batch in batches:
@@ -81,16 +81,16 @@ def text_models(documents: DataFrame, max_languages: int = MAX_LANGUAGES) -> Tex
 
     slim = documents.select(F.col("text").cast("string").alias("text"), F.lower(F.col("lang").cast("string")).alias("lang"))
     counts = slim.mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    # one row of at most TRIGRAMS counts per language, and only for the largest languages
-    rows = counts.groupBy("lang").agg(F.sum("n").alias("total"), F.collect_list(F.struct("gram", "n")).alias("grams")).orderBy(F.desc("total"), "lang").limit(max_languages).collect()
-    if not rows:
+    # one row of at most TRIGRAMS counts per language
+    rows = counts.groupBy("lang").agg(F.collect_list("gram").alias("grams"), F.collect_list("n").alias("counts")).toArrow()
+    if not len(rows):
         return None
-    rows.sort(key=lambda r: r.lang)
-    table = np.zeros((len(rows), TRIGRAMS))
-    for i, r in enumerate(rows):
-        for g in r.grams:
-            table[i, g.gram] = g.n
-    return TextModels([r.lang for r in rows], table)
+    languages = rows.column("lang").to_pylist()
+    order = sorted(range(len(languages)), key=languages.__getitem__)
+    table = np.zeros((len(languages), TRIGRAMS))
+    for place, i in enumerate(order):
+        table[place, rows.column("grams")[i].values.to_numpy()] = rows.column("counts")[i].values.to_numpy()
+    return TextModels([languages[i] for i in order], table)
 
 
 def declared_language(html: str | None) -> str | None:
@@ -149,7 +149,7 @@ def identify(pages: DataFrame, documents: DataFrame, work: Workspace | None = No
     k = len(models.languages)
     rows = work.write(_page_evidence(pages, models).withColumn("posterior", _normal(F.col("evidence"))), "evidence")
     sums = [F.sum(F.col("posterior")[i]).alias(f"s{i}") for i in range(k)]
-    total = lambda: sum((F.col(f"s{i}") for i in range(k)), F.lit(0.0))
+    total = F.aggregate(F.array(*(F.col(f"s{i}") for i in range(k))), F.lit(0.0), lambda a, x: a + x).alias("total")
 
     def level(keys: list[str]) -> DataFrame:
         return rows.groupBy(*keys).agg(*sums)
@@ -164,7 +164,8 @@ def identify(pages: DataFrame, documents: DataFrame, work: Workspace | None = No
         above = F.array(*(F.lit(x) for x in root)) if prior is None else F.col("above")
         if prior is not None:
             counted = counted.join(prior, keys[:-1])
-        lean = F.array(*((F.col(f"s{i}") + STRENGTH * above[i]) / (total() + STRENGTH) for i in range(k)))
+        counted = counted.select("*", total)
+        lean = F.array(*((F.col(f"s{i}") + STRENGTH * above[i]) / (F.col("total") + STRENGTH) for i in range(k)))
         last = keys[-1] == "host"
         prior = counted.select(*keys, lean.alias("above"), *([F.array(*(F.col(f"s{i}") for i in range(k))).alias("own"), above.alias("upper")] if last else []))
     prior = prior.select("host", "own", "upper")

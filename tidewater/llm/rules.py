@@ -10,7 +10,7 @@ Defined cases: null and empty texts have no words, fail the base rules and have
 under ``MIN_WORDS`` words are never judged by divergence (the base rules decide); languages whose
 reference has under ``MIN_REFERENCE_WORDS`` words are left out, and without any reference only the base
 rules decide; a null language is a group of its own; repeated rows give repeated results; ties
-between languages go to the first by name. At most ``MAX_LANGUAGES`` references, those with most words, are broadcast.
+between languages go to the first by name. The references of all other languages, some 2 KB each, are broadcast.
 """
 
 from __future__ import annotations
@@ -23,7 +23,6 @@ from pyspark.sql import functions as F
 from . import textkernel as K
 
 COMMON_WORDS = 100
-MAX_LANGUAGES = 64
 MIN_WORDS = 50
 MIN_REFERENCE_WORDS = 1000
 MAX_CHAR_DISTANCE = 0.28
@@ -191,20 +190,20 @@ def _gather(batches):
         yield pa.record_batch([pa.array([lang] * N_CLASSES, pa.string()), pa.array(np.zeros(N_CLASSES, np.int32)), pa.array(np.arange(N_CLASSES)), pa.array(histogram.astype(np.int64))], names=["lang", "kind", "key", "n"])
 
 
-def language_references(docs: DataFrame, common_words: int = COMMON_WORDS, max_languages: int = MAX_LANGUAGES) -> References:
+def language_references(docs: DataFrame, common_words: int = COMMON_WORDS) -> References:
     counts = docs.select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")).mapInArrow(_gather, "lang string, kind int, key long, n long")
     counts = counts.groupBy("lang", "kind", "key").agg(F.sum("n").alias("n"))
     # the largest words of each salt first, then those of the language: no task sorts a language's whole vocabulary
     salted = counts.withColumn("salt", F.when(F.col("kind") == 1, F.pmod("key", F.lit(64))).otherwise(F.lit(-1)))
     total = F.sum("n").over(Window.partitionBy("lang", "kind", "salt"))
     first = salted.withColumn("total", total).withColumn("r", F.row_number().over(Window.partitionBy("lang", "kind", "salt").orderBy(F.desc("n"), "key"))).where(F.col("r") <= common_words)
-    # at most 65 * common_words rows per language; languages are ranked by their words below
+    # at most 65 * common_words rows per language
     per_language = first.groupBy("lang").agg(
         F.sum(F.when((F.col("kind") == 1) & (F.col("r") == 1), F.col("total"))).alias("words"),
         F.slice(F.sort_array(F.collect_list(F.when(F.col("kind") == 1, F.struct("n", "key"))), asc=False), 1, common_words).alias("top"),
         F.collect_list(F.when(F.col("kind") == 0, F.struct("key", "n"))).alias("classes"),
     )
-    rows = per_language.where(F.col("words") >= MIN_REFERENCE_WORDS).orderBy(F.desc("words"), "lang").limit(max_languages).collect()
+    rows = per_language.where(F.col("words") >= MIN_REFERENCE_WORDS).collect()  # one row of some 2 KB per language
     chars, words, totals = {}, {}, {}
     for r in rows:
         histogram = np.zeros(N_CLASSES, np.int64)
