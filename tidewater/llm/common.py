@@ -59,10 +59,19 @@ def numbered(df: DataFrame) -> DataFrame:
     return df.toDF(*(f"c_{i}" for i in range(len(df.columns))))
 
 
-def map_rows(df: DataFrame, function, *added: tuple[str, T.DataType]) -> DataFrame:
-    """All columns of ``df``, numbered, through ``function(batch) -> batch``; ``added`` columns come after them."""
+def first_columns(df: DataFrame, *names: str) -> DataFrame:
+    """The named columns only; where a name occurs more than once its first column counts."""
     slim = numbered(df)
-    schema = T.StructType([*slim.schema.fields, *(T.StructField(name, kind) for name, kind in added)])
+    return slim.select(*(F.col(f"c_{df.columns.index(name)}").alias(name) for name in names))
+
+
+def map_rows(df: DataFrame, function, *added: tuple[str, T.DataType], drop: int = 0) -> DataFrame:
+    """All columns of ``df``, numbered, through ``function(batch) -> batch``; ``added`` columns come after them.
+
+    The last ``drop`` columns of ``df`` are read by ``function`` but not returned.
+    """
+    slim = numbered(df)
+    schema = T.StructType([*slim.schema.fields[: len(slim.schema.fields) - drop], *(T.StructField(name, kind) for name, kind in added)])
 
     def each(batches):
         for batch in batches:
@@ -71,6 +80,23 @@ def map_rows(df: DataFrame, function, *added: tuple[str, T.DataType]) -> DataFra
     return slim.mapInArrow(each, schema)
 
 
+#: A key counts as hot from this share of all rows on, so there are fewer hot keys than this.
+HOT_SHARE = 4096
+
+
+def join_unique(left: DataFrame, right: DataFrame, key: str, rows: str) -> DataFrame:
+    """``left`` (written tables) joined with the one row of ``right`` per ``key``; column ``rows`` of it counts the key's rows in ``left``.
+
+    Keys with over 1 / ``HOT_SHARE`` of all rows are fewer than ``HOT_SHARE``, so their rows of ``right`` are broadcast
+    and the rows of ``left`` stay where they are. The others are shuffled; none of them can fill a task.
+    """
+    total = int(right.agg(F.sum(rows)).first()[0] or 0)
+    hot = F.broadcast(right.where(F.col(rows) * HOT_SHARE > F.lit(total)))
+    cold = right.where(F.col(rows) * HOT_SHARE <= F.lit(total))
+    rest = left.join(F.broadcast(hot.select(key)), key, "left_anti").join(cold, key)
+    return left.join(hot, key).unionByName(rest)
+
+
 def text_column(df: DataFrame) -> int:
     return df.columns.index("text")
 
