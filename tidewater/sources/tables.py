@@ -29,6 +29,7 @@ class TableSpec:
     checks: dict[str, str] = field(default_factory=dict)  # rule name -> SQL predicate
     max_length: dict[str, int] = field(default_factory=dict)
     bounded_rows: int | None = None  # fixed domain size, independent of scale
+    on_delete: dict[str, str] = field(default_factory=dict)  # foreign key column -> action; restrict if not named
 
 
 REGISTRY: dict[str, TableSpec] = {
@@ -49,6 +50,7 @@ REGISTRY: dict[str, TableSpec] = {
             (("c_nationkey", "nation", "n_nationkey"),),
             not_null=("c_custkey", "c_name"),
             max_length={"c_name": 25, "c_mktsegment": 10},
+            on_delete={"c_nationkey": "set null"},
         ),
         TableSpec(
             "supplier",
@@ -56,6 +58,7 @@ REGISTRY: dict[str, TableSpec] = {
             ("s_suppkey",),
             (("s_nationkey", "nation", "n_nationkey"),),
             max_length={"s_name": 25},
+            on_delete={"s_nationkey": "set null"},
         ),
         TableSpec(
             "part",
@@ -94,6 +97,7 @@ REGISTRY: dict[str, TableSpec] = {
                 "l_discount_range": "l_discount BETWEEN 0 AND 0.1",
                 "l_returnflag_domain": "l_returnflag IN ('A', 'N', 'R')",
             },
+            on_delete={"l_orderkey": "cascade", "l_partkey": "cascade", "l_suppkey": "cascade"},
         ),
         TableSpec(
             "events",
@@ -117,6 +121,7 @@ REGISTRY: dict[str, TableSpec] = {
             _schema(("doc_id", L), ("quality", I), ("toxic", I)),
             ("doc_id",),
             (("doc_id", "documents", "doc_id"),),
+            on_delete={"doc_id": "cascade"},
         ),
         TableSpec(
             "conversations",
