@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.expressions import corr_safe, round_ratio
 from .ordering import exact_quantiles
+from .selection import stacked_quantiles
 
 
 def _drop_null_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -74,9 +75,10 @@ def describe(df: DataFrame, columns: Sequence[str], digits: int = 6) -> DataFram
     spread = counts.join(F.broadcast(first.select("column", "mean", "count")), "column").groupBy("column").agg(
         F.sqrt(F.sum(w * (v - F.col("mean")) * (v - F.col("mean"))) / F.nullif(F.first("count") - 1, F.lit(0)))
         .alias("std"))
-    qs = exact_quantiles(counts, "value", {"p25": 0.25, "p50": 0.5, "p75": 0.75}, by=["column"], weight="_w")
-    names = df.sparkSession.createDataFrame([(c,) for c in columns], "column string")
-    out = F.broadcast(names).join(first, "column", "left").join(spread, "column", "left").join(qs, "column", "left")
+    found = stacked_quantiles(counts.where(~F.isnan("value")), {"p25": 0.25, "p50": 0.5, "p75": 0.75}, weight="_w")
+    rows = [(c, *(found[c][q] if c in found else None for q in ("p25", "p50", "p75"))) for c in columns]
+    names = df.sparkSession.createDataFrame(rows, "column string, p25 double, p50 double, p75 double")
+    out = F.broadcast(names).join(first, "column", "left").join(spread, "column", "left")
     return out.select(
         "column", F.coalesce("count", F.lit(0)).cast("bigint").alias("count"),
         *[F.round(c, digits).alias(c) for c in ("mean", "std", "min", "p25", "p50", "p75", "max")],

@@ -15,23 +15,22 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .aggregates import unpivot_numeric
-from .ordering import exact_quantiles, global_positions
+from .ordering import global_positions
+from .selection import quantiles_of
 
 
 def column_quantiles(df: DataFrame, columns: Sequence[str], q: float, prefix: str = "") -> DataFrame:
-    """One row holding the exact q-quantile of every column (one range pass for all)."""
-    stacked = unpivot_numeric(df, columns)
-    qs = exact_quantiles(stacked, "value", {"q": q}, by=["column"])
-    return qs.groupBy().pivot("column", list(columns)).agg(F.first("q")) \
-        .select(*[F.col(f"`{c}`").alias(prefix + c) for c in columns])
+    """One row holding the exact q-quantile of every column (all columns in the same passes)."""
+    found = quantiles_of(df, columns, {"q": q})
+    schema = ", ".join(f"`{prefix}{c}` double" for c in columns)
+    return df.sparkSession.createDataFrame([tuple(found[c]["q"] for c in columns)], schema)
 
 
 def median_fill(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """M1: missing numbers take the column's exact median (computed on the frame given)."""
-    med = column_quantiles(df, columns, 0.5, prefix="_med_")
-    j = df.crossJoin(F.broadcast(med))
-    return j.select(*[F.coalesce(F.col(c).cast("double"), F.col(f"_med_{c}")).alias(c) if c in columns else F.col(c)
-                      for c in df.columns])
+    """M1: missing numbers take the column's exact median (computed on the frame given, in a few passes over it)."""
+    med = quantiles_of(df, columns, {"m": 0.5})
+    return df.select(*[F.coalesce(F.col(c).cast("double"), F.lit(med[c]["m"]).cast("double")).alias(c) if c in columns else F.col(c)
+                       for c in df.columns])
 
 
 def constant_fill(df: DataFrame, values: dict[str, object]) -> DataFrame:
@@ -41,10 +40,9 @@ def constant_fill(df: DataFrame, values: dict[str, object]) -> DataFrame:
 
 def cap_at_quantile(df: DataFrame, column: str, q: float = 0.99) -> DataFrame:
     """F16: values above the exact q-quantile are set to it; null stays null."""
-    cap = exact_quantiles(df, column, {"_cap": q})
-    j = df.crossJoin(F.broadcast(cap))
+    cap = F.lit(quantiles_of(df, [column], {"cap": q})[column]["cap"]).cast("double")
     x = F.col(column)
-    return j.withColumn(column, F.when(x > F.col("_cap"), F.col("_cap")).otherwise(x)).drop("_cap")
+    return df.withColumn(column, F.when(x > cap, cap).otherwise(x))
 
 
 def categories(df: DataFrame, column: str, cap: int = 1000) -> list[str]:

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from ..functions.expressions import corr_safe, decade_label, round_ratio, three_way_category
 from ..operators import aggregates as A
 from ..operators.features import exact_sample, stratified_label
-from ..operators.ordering import exact_quantiles, row_of_extreme
+from ..operators.ordering import row_of_extreme
+from ..operators.selection import quantiles_of
 from .analyses import patient_risk_profile
 from .domain import Domain, indicators
 
@@ -155,12 +156,10 @@ def q15_gdp_categories(dom: Domain) -> DataFrame:
     """Task 6: GDP below the median Low, up to p75 Medium, else (also missing) High; counts."""
     from ..session import cut_lineage
     df = cut_lineage(indicators(dom).select("GDPperCapita"))  # read by the quantiles and by the labelling
-    cuts = exact_quantiles(df, "GDPperCapita", {"median": 0.5, "p75": 0.75})
-    labelled = df.crossJoin(F.broadcast(cuts)).withColumn(
-        "GDPCategory", three_way_category("GDPperCapita", F.col("median"), F.col("p75")))
-    counts = labelled.groupBy("GDPCategory").agg(F.count(F.lit(1)).alias("count"))
-    return counts.crossJoin(F.broadcast(cuts)).select(
-        "GDPCategory", "count", F.round("median", 6).alias("gdp_median"), F.round("p75", 6).alias("gdp_p75"))
+    found = quantiles_of(df, ["GDPperCapita"], {"median": 0.5, "p75": 0.75})["GDPperCapita"]
+    median, p75 = (F.lit(found[k]).cast("double") for k in ("median", "p75"))
+    counts = df.groupBy(three_way_category("GDPperCapita", median, p75).alias("GDPCategory")).agg(F.count(F.lit(1)).alias("count"))
+    return counts.select("GDPCategory", "count", F.round(median, 6).alias("gdp_median"), F.round(p75, 6).alias("gdp_p75"))
 
 
 def q15_missing(dom: Domain) -> DataFrame:
@@ -196,9 +195,9 @@ def q15_life_stats(dom: Domain) -> DataFrame:
                   exact_mean("LifeExpectancy", 2).alias("mean"),
                   (F.max("LifeExpectancy") - F.min("LifeExpectancy")).alias("range"),
                   F.round(corr_safe("GDPperCapita", "LifeExpectancy"), 6).alias("corr_gdp_life"))
-    qs = exact_quantiles(df, "LifeExpectancy", {"p25": 0.25, "p50": 0.5, "p75": 0.75})
-    return base.crossJoin(qs).select("min", "max", F.round("mean", 6).alias("mean"), F.round("range", 6).alias("range"),
-                                     *[F.round(c, 6).alias(c) for c in ("p25", "p50", "p75")], "corr_gdp_life")
+    qs = quantiles_of(df, ["LifeExpectancy"], {"p25": 0.25, "p50": 0.5, "p75": 0.75})["LifeExpectancy"]
+    return base.select("min", "max", F.round("mean", 6).alias("mean"), F.round("range", 6).alias("range"),
+                       *[F.round(F.lit(qs[c]).cast("double"), 6).alias(c) for c in ("p25", "p50", "p75")], "corr_gdp_life")
 
 
 def country_year_panel(dom: Domain) -> DataFrame:

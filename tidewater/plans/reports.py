@@ -12,7 +12,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import windows as W
-from ..operators.ordering import global_positions, top_k_per_group
+from ..operators.ordering import top_k_per_group
+from ..operators.selection import add_ntiles
+from ..session import cut_lineage
 from ..sources.tables import Tables
 
 # Order priorities, the heatmap's columns.
@@ -130,19 +132,10 @@ def top_products_per_type(t: Tables, k: int = 3) -> DataFrame:
                            rank="rank", rank_col="type_rank")
 
 
-def ntile_from_position(pos: Column, total: Column, n: int) -> Column:
-    """NTILE(n) from a 1-based position: the first N mod n buckets hold one row more."""
-    q = F.floor(total / n)
-    r = total - q * n
-    big = r * (q + 1)
-    return F.when(pos <= big, F.floor((pos - 1) / (q + 1)) + 1) \
-        .otherwise(r + F.floor((pos - 1 - big) / q) + 1).cast("int")
-
-
 def customer_segments(t: Tables, buckets: int = 4) -> DataFrame:
     """Recency / frequency / value per customer, each scored by NTILE over all customers.
 
-    NTILE is computed from global positions (no single-task window over all customers).
+    The cut points of all three scores come from one selection over the pinned rollup; no customer is sorted.
     """
     o = t.orders.select("o_custkey", "o_orderdate", "o_totalprice")
     last = o.agg(F.max(F.col("o_orderdate").cast("date")).alias("_as_of"))
@@ -151,10 +144,8 @@ def customer_segments(t: Tables, buckets: int = 4) -> DataFrame:
         F.count(F.lit(1)).alias("frequency"),
         F.sum(_dec("o_totalprice")).cast("double").alias("monetary"),
     ).crossJoin(F.broadcast(last)).withColumn("recency_days", F.datediff("_as_of", "last_order")).drop("_as_of")
-    scored = per
-    for name, key in (("r_score", F.col("recency_days")), ("f_score", -F.col("frequency")), ("m_score", -F.col("monetary"))):
-        ranked = global_positions(scored.withColumn("_key", key), ["_key", "o_custkey"], pos_col="_pos", count_col="_n")
-        scored = ranked.withColumn(name, ntile_from_position(F.col("_pos"), F.col("_n"), buckets)).drop("_key", "_pos", "_n")
+    per = cut_lineage(per.withColumn("_often", -F.col("frequency")).withColumn("_much", -F.col("monetary")))
+    scored = add_ntiles(per, {"r_score": "recency_days", "f_score": "_often", "m_score": "_much"}, "o_custkey", buckets)
     return scored.select(F.col("o_custkey").alias("c_custkey"), "recency_days", "frequency", "monetary",
                          "r_score", "f_score", "m_score",
                          F.concat(F.col("r_score").cast("string"), F.col("f_score").cast("string"),
