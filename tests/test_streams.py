@@ -1,12 +1,13 @@
 """Streams (fixture: stream -- duplicates, late rows beyond the watermark, replayed batch)."""
 
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
-
 from tidewater.sources.tables import REGISTRY
 from tidewater.streaming import streams as ST
+from tidewater.streaming.snapshots import KeyedSnapshot
 
 
 def write_batches(spark, root, batches):
@@ -20,6 +21,10 @@ def ev(i, minute, user, value, day=1):
     return (i, dt.datetime(2024, 1, day, 0, 0) + dt.timedelta(minutes=minute), user, "click", value, '{"k": 1}')
 
 
+def stored(spark, root, buckets=64):
+    return KeyedSnapshot(spark, root, "user_id long, value double, ts timestamp, event_id long", ["user_id"], buckets)
+
+
 def test_windowed_volume_final_state_equals_batch(spark, tmp_dir):
     src = write_batches(spark, tmp_dir, [[ev(1, 5, 1, 1.0), ev(2, 70, 2, 2.0)], [ev(3, 10, 1, 3.0, day=2)]])
     stream = ST.event_stream(spark, src, max_files_per_trigger=1)
@@ -62,7 +67,7 @@ def test_audit_stream_inserts_updates_and_replay_is_idempotent(spark, tmp_dir):
     again = {(r.batch_id, r.user_id, r.action, r.old_value, r.new_value)
              for r in spark.read.parquet(f"{root}/audit").collect()}
     assert again == audit
-    snap = spark.read.parquet(f"{root}/snapshot").where(F.col("batch_id") == 1)
+    snap = stored(spark, f"{root}/snapshot").read()
     assert {(r.user_id, r.value) for r in snap.collect()} == {(1, 4.0), (2, 9.0)}
 
 
@@ -83,7 +88,7 @@ def test_late_events_and_null_values_in_the_audit_stream(spark, tmp_dir):
     audit = {(r.batch_id, r.user_id, r.action, r.old_value, r.new_value) for r in spark.read.parquet(f"{root}/audit").collect()}
     assert audit == {(0, 1, "INSERT", None, "20.0"), (0, 2, "INSERT", None, None), (0, None, "INSERT", None, "1.0"),
                      (1, 2, "UPDATE", None, "3.0"), (1, None, "UPDATE", "1.0", "2.0")}
-    snap = spark.read.parquet(f"{root}/snapshot").where(F.col("batch_id") == 1)
+    snap = stored(spark, f"{root}/snapshot").read()
     assert {(r.user_id, r.value) for r in snap.collect()} == {(1, 20.0), (2, 3.0), (None, 2.0)}
 
 
@@ -92,3 +97,51 @@ def test_update_mode_is_refused(spark, tmp_dir):
     volume = ST.windowed_volume(ST.event_stream(spark, src))
     with pytest.raises(ValueError):
         ST.run_available_now(volume, f"{tmp_dir}/out", f"{tmp_dir}/ck", mode="update")
+
+
+def pairs(df):
+    return sorted(map(tuple, df.select("k", "v").collect()), key=repr)
+
+
+def test_snapshot_rewrites_touched_buckets_only(spark, tmp_dir):
+    snap = KeyedSnapshot(spark, f"{tmp_dir}/s", "k long, v string", ["k"], buckets=8)
+    assert snap.versions() == [] and snap.read().count() == 0 and snap.before(spark.createDataFrame([(1,)], "k long"), 0).count() == 0
+    first = spark.createDataFrame([(i, "a") for i in [None, *range(40)]], "k long, v string")
+    assert snap.write(first, 0) == list(range(8)) and pairs(snap.read()) == pairs(first)
+    change = spark.createDataFrame([(7, "b")], "k long, v string")
+    touched = snap.touched(change)
+    old = snap.before(change, 1)
+    assert len(touched) == 1 and 0 < old.count() < 41 and old.where("k = 7").count() == 1
+    merged = old.where("k <> 7 OR k IS NULL").unionByName(change)
+    for _ in range(2):  # the second time is a replay
+        assert snap.write(merged, 1) == touched
+        assert sorted(set(snap.holders().values())) == [0, 1] and [b for b, v in snap.holders().items() if v == 1] == touched
+        assert pairs(snap.read()) == pairs(first.where("k <> 7 OR k IS NULL").unionByName(change))
+        assert pairs(snap.read(snap.holders(before=1))) == pairs(first)
+    assert os.listdir(f"{tmp_dir}/s/data/version=1") and len([d for d in os.listdir(f"{tmp_dir}/s/data/version=1") if d.startswith("bucket=")]) == 1
+    # an empty batch changes nothing
+    before = pairs(snap.read())
+    assert snap.write(change.limit(0), 2) == [] and pairs(snap.read()) == before and snap.versions() == [0, 1, 2]
+    # version 0 keeps the buckets that are still read
+    assert snap.expire(keep=3) == 0 and pairs(snap.read(snap.holders(before=1))) == pairs(first)
+    assert snap.expire(keep=2) == 1 and pairs(snap.read()) == before and snap.versions() == [1, 2]
+    assert snap.expire(keep=1) == 0 and pairs(snap.read()) == before and snap.versions() == [2]
+    left = [d for d in os.listdir(f"{tmp_dir}/s/data/version=0") if d.startswith("bucket=")]
+    assert len(left) == 7 and f"bucket={touched[0]}" not in left
+    with pytest.raises(ValueError):
+        snap.expire(0)
+
+
+def test_replayed_batches_of_a_bucketed_audit_stream(spark, tmp_dir):
+    root = f"{tmp_dir}/audit"
+    batches = [[ev(10 * b + i, 5 * b + i, (7 * b + i) % 6, float(b)) for i in range(4)] for b in range(4)]
+    frames = [spark.createDataFrame(x, REGISTRY["events"].schema).withColumn("ts", F.col("ts").cast("timestamp")) for x in batches]
+    apply = ST.audit_stream(frames[0], root, buckets=4)
+    for b in (0, 1, 1, 2, 3, 3):
+        apply(frames[b], b)
+    last = {}
+    for x in batches:
+        for e in x:
+            last[e[2]] = max(last.get(e[2], e[1:2] + e[0:1] + (e[4],)), e[1:2] + e[0:1] + (e[4],))
+    assert {(r.user_id, r.value) for r in stored(spark, f"{root}/snapshot", 4).read().collect()} == {(u, v[2]) for u, v in last.items()}
+    assert len(stored(spark, f"{root}/snapshot", 4).versions()) == 2

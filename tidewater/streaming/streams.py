@@ -1,8 +1,8 @@
 """Structured Streaming forms of three batch jobs (ST1-ST3).
 
 * ST1 ``audit_stream``: each micro-batch of value changes is applied to the current
-  snapshot (latest value per key) and writes audit rows; outputs are versioned by batch
-  id and overwritten on replay, so a re-run batch gives the same files.
+  snapshot (latest value per key, in hash buckets of which only touched ones are rewritten) and writes
+  audit rows; outputs are versioned by batch id and overwritten on replay, so a re-run batch gives the same files.
 * ST2 ``windowed_volume``: tumbling-window counts per event type with a watermark; rows
   later than the watermark are dropped and closed windows leave the state (append mode), or the whole
   state equals the batch aggregate (complete mode).
@@ -19,8 +19,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import cut_lineage, ensure_checkpoint_dir
 from ..sources.tables import REGISTRY
+from .snapshots import KeyedSnapshot
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -77,24 +78,6 @@ def run_available_now(df: DataFrame, out_path: str, checkpoint: str, mode: str =
     q.awaitTermination()
 
 
-def _snapshot_before(spark: SparkSession, snapshot_root: str, batch_id: int, schema: str) -> DataFrame:
-    """The snapshot version written by the newest batch older than ``batch_id`` (empty if none).
-
-    Versions are partitions ``batch_id=N`` of one table, so the lookup is a partition-pruned
-    read on whatever shared file system holds the folder.
-    """
-    from pyspark.errors import AnalysisException
-    try:
-        versions = spark.read.parquet(snapshot_root)
-    except AnalysisException:  # no version written yet
-        return spark.createDataFrame([], schema)
-    # one scalar per micro-batch: the newest older version, then a partition-pruned read of it
-    newest = versions.where(F.col("batch_id") < batch_id).agg(F.max("batch_id")).first()[0]
-    if newest is None:
-        return spark.createDataFrame([], schema)
-    return versions.where(F.col("batch_id") == newest).drop("batch_id")
-
-
 def _write_version(df: DataFrame, root: str, batch_id: int) -> None:
     """Write (or on replay, rewrite) the ``batch_id`` partition only."""
     df.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite") \
@@ -102,34 +85,37 @@ def _write_version(df: DataFrame, root: str, batch_id: int) -> None:
 
 
 def audit_stream(stream: DataFrame, root: str, key: str = "user_id", value: str = "value", order: str = "ts",
-                 tiebreak: str = "event_id"):
+                 tiebreak: str = "event_id", buckets: int = 64, keep: int = 2):
     """ST1: returns a ``foreachBatch`` function applying each batch to the snapshot with audit rows.
 
     For every key in the batch its last value (by ``order`` then ``tiebreak``) replaces the
     snapshot value if it is later than the one stored there, so a late event never undoes a newer one
     and leaves no audit row. Audit rows say INSERT (new key) or UPDATE (old -> new value); a key whose
-    stored value is null is known all the same, and a null key is a key like any other. A replayed
-    batch reads the same older version and rewrites its own partitions: idempotent.
+    stored value is null is known all the same, and a null key is a key like any other. The snapshot lies in hash
+    buckets of the key (``snapshots.KeyedSnapshot``): a batch reads and rewrites the buckets of its keys only, and
+    versions that the last ``keep`` manifests do not name are removed. A replayed batch starts from the
+    same older version and rewrites its own folders: idempotent.
     """
     spark = stream.sparkSession
-    snap_root, audit_root = f"{root}/snapshot", f"{root}/audit"
     columns = [key, value, order, tiebreak]
     types = dict(stream.select(*columns).dtypes)
-    schema = ", ".join(f"`{c}` {types[c]}" for c in columns)
+    snapshot = KeyedSnapshot(spark, f"{root}/snapshot", ", ".join(f"`{c}` {types[c]}" for c in columns), [key], buckets)
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         newest = F.max(F.struct(order, tiebreak, value)).alias("_v")
-        last = batch.select(*[F.col(c).cast(types[c]).alias(c) for c in columns]).groupBy(key).agg(newest).select(key, *[F.col(f"_v.{c}").alias(c) for c in columns[1:]])
-        old = _snapshot_before(spark, snap_root, batch_id, schema).select(*columns)
+        last = batch.select(*[F.col(c).cast(types[c]).alias(c) for c in columns]).groupBy(key).agg(newest)
+        last = cut_lineage(last.select(key, *[F.col(f"_v.{c}").alias(c) for c in columns[1:]]))  # read by keys, audit and merge
+        old = snapshot.before(last, batch_id)
         stored = old.select(*[F.col(c).alias(f"_old_{c}") for c in columns], F.lit(True).alias("_known"))
         j = last.join(stored, F.col(key).eqNullSafe(F.col(f"_old_{key}")), "left")
         j = j.where(F.col("_known").isNull()
                     | (F.struct(order, tiebreak) > F.struct(F.col(f"_old_{order}"), F.col(f"_old_{tiebreak}"))))
         audit = j.select(key, F.when(F.col("_known").isNull(), "INSERT").otherwise("UPDATE").alias("action"),
                          F.col(f"_old_{value}").cast("string").alias("old_value"), F.col(value).cast("string").alias("new_value"))
-        _write_version(audit, audit_root, batch_id)
+        _write_version(audit, f"{root}/audit", batch_id)
         latest = old.unionByName(last.select(*columns)).groupBy(key).agg(newest)
-        _write_version(latest.select(key, *[F.col(f"_v.{c}").alias(c) for c in columns[1:]]), snap_root, batch_id)
+        snapshot.write(latest.select(key, *[F.col(f"_v.{c}").alias(c) for c in columns[1:]]), batch_id)
+        snapshot.expire(keep)
 
     return apply
 
@@ -159,6 +145,15 @@ def st1_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{root}/audit").select("batch_id", "user_id", "action", "old_value", "new_value")
 
 
+def st1_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST1: the snapshot that the three arrivals leave: the last event of every user."""
+    root = scratch_path(spark, "st1")
+    for _ in _arrivals(spark, sf_dir, root):
+        run_audit_stream(event_stream(spark, f"{root}/in"), root, f"{root}/_checkpoint")
+    kept = KeyedSnapshot(spark, f"{root}/snapshot", "user_id long, value double, ts timestamp, event_id long", ["user_id"])
+    return kept.read().select("user_id", "event_id", "value", F.col("ts").cast("timestamp_ntz").alias("ts"))
+
+
 def st2_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ST2 in append mode: windows are written once the watermark has passed their end, and their state is let go."""
     root = scratch_path(spark, "st2")
