@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -97,22 +97,36 @@ def feature_importances(model, names: Sequence[str], top: int | None = None) ->
     return df.limit(top) if top else df
 
 
-def permutation_importance(model, df: DataFrame, feature_cols: Sequence[str], key: str, label: str,
-                           assemble_fn, seed: int = 7) -> DataFrame:
-    """Increase in RMSE when one feature's values are permuted (by hash order of the key).
+def permuted_metrics(score: Callable[[DataFrame], DataFrame], df: DataFrame, features: Sequence[str], key: Sequence[str], label: str,
+                     seed: int = 7) -> DataFrame:
+    """Metrics of a model with each feature permuted in turn, and unpermuted (feature null): one row each.
 
-    The permutation pairs the row at position i in key order with the value at position i
-    in md5(key, seed) order -- an equi-join on positions, no collect.
+    The row at position i in key order takes a feature's value from the row at position i in the order of
+    md5(key, seed). Both positions are made once for all features and joined; a row then stands for itself once per
+    feature, and one scoring pass with one grouped aggregate serves all of them.
     """
-    base = regression_metrics(model.transform(assemble_fn(df)), label).select(F.col("rmse").alias("_base"))
-    out = None
-    for c in feature_cols:
-        a = global_positions(df, [key], pos_col="_i")
-        b = global_positions(df.select(key, F.col(c).alias("_perm"))
-                             .withColumn("_h", F.md5(F.concat(F.col(key).cast("string"), F.lit(str(seed))))),
-                             ["_h", key], pos_col="_i").select("_i", "_perm")
-        shuffled = a.join(b, "_i").drop(c, "_i").withColumnRenamed("_perm", c)
-        m = regression_metrics(model.transform(assemble_fn(shuffled)), label).select(F.col("rmse").alias("_rmse"))
-        row = m.crossJoin(base).select(F.lit(c).alias("feature"), (F.col("_rmse") - F.col("_base")).alias("rmse_increase"))
-        out = row if out is None else out.unionByName(row)
-    return out
+    key, features = list(key), list(features)
+    text = F.concat_ws("-", *[F.col(k).cast("string") for k in key])
+    slim = df.select(*dict.fromkeys([*key, *features, label])).withColumn("_h", F.md5(F.concat(text, F.lit(str(seed)))))
+    own = global_positions(slim.drop("_h"), key, pos_col="_i")
+    other = global_positions(slim.select(*key, "_h", *[F.col(c).alias(f"_p_{c}") for c in features]), ["_h", *key], pos_col="_i").drop("_h", *key)
+    pairs = own.join(other, "_i")
+    variants = [F.struct(F.lit(name).cast("string").alias("_feature"), *[(F.col(f"_p_{c}") if c == name else F.col(c)).alias(c) for c in features])
+                for name in (None, *features)]
+    rest = [c for c in dict.fromkeys([*key, label]) if c not in features]
+    each = pairs.select(*rest, F.explode(F.array(*variants)).alias("_v")).select(*rest, "_v.*")
+    return regression_metrics(score(each), label, by=["_feature"]).withColumnRenamed("_feature", "feature")
+
+
+def permutation_importances(score: Callable[[DataFrame], DataFrame], df: DataFrame, features: Sequence[str], key: Sequence[str], label: str,
+                            seed: int = 7) -> DataFrame:
+    """Increase in RMSE when one feature's values are permuted, rows (feature, rmse_increase)."""
+    found = permuted_metrics(score, df, features, key, label, seed)
+    base = found.where("feature IS NULL").select(F.col("rmse").alias("_base"))
+    return found.where("feature IS NOT NULL").crossJoin(F.broadcast(base)).select("feature", (F.col("rmse") - F.col("_base")).alias("rmse_increase"))
+
+
+def permutation_importance(model, df: DataFrame, feature_cols: Sequence[str], key: str, label: str,
+                           assemble_fn, seed: int = 7) -> DataFrame:
+    """M22 of a fitted Spark ML model whose features ``assemble_fn`` puts together."""
+    return permutation_importances(lambda rows: model.transform(assemble_fn(rows)), df, feature_cols, [key], label, seed)

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expressions import season, whole_days_between
+from ..operators import correlation as CO
 from ..operators import evaluation as EV
 from ..operators import features as FE
 from ..operators import models as MD
@@ -77,8 +78,8 @@ def cleaning_counts(t: Tables) -> DataFrame:
     return dups.crossJoin(e).crossJoin(p)
 
 
-def feature_table(t: Tables) -> DataFrame:
-    """Steps 5-12: merge, derive, impute (exact medians), cap at p99, log target."""
+def merged_table(t: Tables) -> DataFrame:
+    """Steps 5-8: entries with their property and its uses, derived columns; pinned, missing values as they are."""
     elec = electric_entries(t)
     props = properties(t).where(F.col("gross_floor_area") > 0)
     data = left_merge(elec, props, ["pm_id"], suffix="_prop")
@@ -91,8 +92,13 @@ def feature_table(t: Tables) -> DataFrame:
         whole_days_between("start_date", "end_date").alias("days_in_period"),
         season(F.month("start_date")).alias("season"), "property_type",
     )
-    # the medians and the cap each read the merged table; pin it once instead of re-joining
-    data = cut_lineage(data)
+    # medians, cap and correlations each read the merged table; pin it once instead of re-joining
+    return cut_lineage(data)
+
+
+def feature_table(t: Tables) -> DataFrame:
+    """Steps 5-12: merge, derive, impute (exact medians), cap at p99, log target."""
+    data = merged_table(t)
     filled = FE.median_fill(data, NUMERIC)
     filled = FE.constant_fill(filled, {c: "Unknown" for c in CATEGORICAL})
     capped = FE.cap_at_quantile(filled, "gross_floor_area", 0.99)
@@ -149,6 +155,42 @@ def forest_importances(t: Tables, trees: int = 300, depth: int | None = None, to
     return EV.feature_importances(model, feats, top)
 
 
+def heat_map(t: Tables) -> DataFrame:
+    """Correlations of all numeric columns of the merged table that vary, the log usage included."""
+    data = merged_table(t).withColumn("log_usage_kwh", F.log1p("usage_kwh")).withColumn("constant", F.lit(1.0))
+    table = CO.pair_correlations(data, CO.varying_columns(data))
+    return table.select("a", "b", "n", F.round("r", 6).alias("r"))
+
+
+def redundancy_selection(t: Tables, limit: float = 0.2) -> DataFrame:
+    """Features of the log usage, those left out that repeat a stronger one."""
+    ft = feature_table(t)
+    table = CO.pair_correlations(ft, [*NUMERIC, "log_usage_kwh"]).withColumn("r", F.round("r", 6))
+    return CO.select_uncorrelated(table, NUMERIC, "log_usage_kwh", limit)
+
+
+def fixed_line(df: DataFrame) -> DataFrame:
+    """A fixed predictor of the log usage, so that what is made of its predictions can be held against SQL."""
+    return df.withColumn("prediction", F.lit(9.0) + F.col("gross_floor_area") / 10000 + F.col("occupancy") / 100 - F.col("month") / 10)
+
+
+def line_permutation(t: Tables) -> DataFrame:
+    """M22 of the fixed predictor: what permuting each of its features, and one it does not use, costs."""
+    found = EV.permutation_importances(fixed_line, feature_table(t), ["gross_floor_area", "occupancy", "month", "year"], ["entry_id"], "log_usage_kwh")
+    return found.select("feature", F.round("rmse_increase", 6).alias("rmse_increase"))
+
+
+def regression_permutation(t: Tables) -> DataFrame:
+    """M22 of the fitted linear regression."""
+    ft = feature_table(t).withColumn("split", FE.hash_split("entry_id", 80, 42))
+
+    def assembled(df: DataFrame) -> DataFrame:
+        return FE.assemble(df, NUMERIC, "log_usage_kwh", forbidden=TARGET_DERIVED)
+
+    model = MD.linear_regression(label="log_usage_kwh").fit(assembled(ft.where(F.col("split") == "train")))
+    return EV.permutation_importance(model, ft.where(F.col("split") == "test"), NUMERIC, "entry_id", "log_usage_kwh", assembled)
+
+
 # The reference's grid; the registered queries use smaller forests (README).
 GRID_TREES, GRID_DEPTHS = (100, 200, 300), (5, 10, 20, None)
 
