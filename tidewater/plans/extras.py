@@ -10,6 +10,7 @@ from ..functions.expressions import case_value, millions, sentinels_to_null, to_
 from ..operators import aggregates as A
 from ..operators import evaluation as EV
 from ..operators import features as FE
+from ..operators.keymap import key_map
 from ..operators.ordering import surrogate_keys
 from ..operators.quality import non_constant_columns
 from ..sources.rows import resolve_natural_keys
@@ -233,3 +234,14 @@ def read_through_sql(t: Tables) -> DataFrame:
     return read_sql(t.spark, t.sf_dir, """SELECT c.c_mktsegment, COUNT(*) AS orders, MAX(o.o_totalprice) AS largest
         FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey WHERE o.o_totalprice > :least GROUP BY c.c_mktsegment""",
                     {"least": 100000.0})
+
+
+def incremental_key_map(t: Tables) -> DataFrame:
+    """S5 + D12: drug codes get ids over three loads: small parts, the codes on lines, and the same again.
+
+    Lines numbered 7 carry codes that no part has; the third load brings nothing new.
+    """
+    part, key = t.part, F.col("l_partkey").cast("string")
+    small = part.where(F.col("p_size") <= 25).select(F.concat(F.lit("D"), F.col("p_partkey").cast("string")).alias("drug_code"))
+    lines = t.lineitem.select(F.concat(F.when(F.col("l_linenumber") == 7, "X").otherwise("D"), key).alias("drug_code"))
+    return key_map([small, lines, lines], "drug_code", "drug_id")

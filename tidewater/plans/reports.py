@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators import series as SE
 from ..operators import windows as W
 from ..operators.ordering import top_k_per_group
 from ..operators.selection import add_ntiles
@@ -197,6 +198,46 @@ def revenue_forecast(t: Tables, horizon: int = 6, season: int = 12) -> DataFrame
                        F.round(F.col("intercept") + F.col("slope") * F.col("idx"), 2).alias("trend"))
 
 
+def stock_movement(t: Tables, initial_per_size: int = 10) -> DataFrame:
+    """Stock of every part after each day on which it moved: returned lines come in, the others go out."""
+    signed = F.when(F.col("l_returnflag") == "R", _dec("l_quantity")).otherwise(-_dec("l_quantity"))
+    moves = t.lineitem.select("l_partkey", F.col("l_shipdate").cast("date").alias("day"), signed.alias("amount"))
+    moved = SE.running_balance(moves, ["l_partkey"], "day", "amount")
+    start = t.part.select("p_partkey", (F.col("p_size") * initial_per_size).cast("decimal(18,2)").alias("initial"))
+    return moved.join(start, F.col("l_partkey") == F.col("p_partkey")).select("p_partkey", "day", "net", (F.col("initial") + F.col("moved")).alias("stock"))
+
+
+def stock_history(t: Tables) -> DataFrame:
+    """The movements as numbers of a report."""
+    return stock_movement(t).select("p_partkey", "day", F.col("net").cast("double").alias("net"), F.col("stock").cast("double").alias("stock"))
+
+
+def stock_shortages(t: Tables, threshold: int = 0) -> DataFrame:
+    """Per part the first day its stock was under the threshold, the days under it, the lowest and the last stock."""
+    found = SE.shortages(stock_movement(t), ["p_partkey"], "day", "stock", threshold)
+    return found.select("p_partkey", "first_day_below", "days_below", *[F.col(c).cast("double").alias(c) for c in ("lowest", "last")])
+
+
+def _type_months(t: Tables) -> DataFrame:
+    """Revenue per product type and month of the order."""
+    o = t.orders.select("o_orderkey", F.trunc(F.col("o_orderdate").cast("date"), "MM").alias("month"))
+    per = line_values(t).groupBy("l_orderkey", "p_type").agg(F.sum("revenue").alias("rev")).join(o, F.col("l_orderkey") == F.col("o_orderkey"))
+    return per.groupBy("p_type", "month").agg(F.sum("rev").cast("double").alias("revenue"))
+
+
+def forecast_errors(t: Tables, season: int = 12, history: int = 24) -> DataFrame:
+    """How far trend and seasonal-naive are off, one month ahead, per product type."""
+    filled = SE.gap_filled(_type_months(t), ["p_type"], "month", "revenue", fill=0.0)
+    errors = SE.forecast_errors(SE.rolling_origin(filled, ["p_type"], "revenue", season, history), ["p_type"], "revenue")
+    return errors.withColumns({c: F.round(c, 2) for c in ("mae_trend", "mae_seasonal")})
+
+
+def forecast_per_type(t: Tables, horizon: int = 6) -> DataFrame:
+    """The next months of every product type."""
+    filled = SE.gap_filled(_type_months(t), ["p_type"], "month", "revenue", fill=0.0)
+    return SE.forecast(filled, ["p_type"], "month", "revenue", horizon).withColumn("trend", F.round("trend", 2))
+
+
 def region_priority_heatmap(t: Tables) -> DataFrame:
     """Revenue by region (rows) and order priority (columns)."""
     per_order = line_revenue(t).groupBy("l_orderkey").agg(F.sum("revenue").alias("rev"))
