@@ -167,20 +167,30 @@ def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
             .select("bin", lo.alias("lower"), hi.alias("upper"), F.coalesce("count", F.lit(0)).alias("count")))
 
 
+#: Groups up to which the fences of box statistics are broadcast (a few MB); beyond, they are joined by shuffle.
+BOX_GROUPS = 100_000
+
+
 def box_stats(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
-    """Quartiles, Tukey whiskers (furthest points within 1.5 IQR) and outlier count per group."""
+    """Quartiles, Tukey whiskers (furthest points within 1.5 IQR) and outlier count per group; a null group is a group.
+
+    The fences, one row per group, are pinned and counted: if they are few they are broadcast, so rows stay where they
+    are and a hot group is combined in every task that reads it.
+    """
+    from ..session import cut_lineage
+    by = list(by)
     qs = exact_quantiles(df, value, {"q1": 0.25, "median": 0.5, "q3": 0.75}, by=by, count_col="n")
-    fences = qs.select(*by, "q1", "median", "q3", "n",
-                       (F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))).alias("_lf"),
-                       (F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))).alias("_uf"))
+    spread = 1.5 * (F.col("q3") - F.col("q1"))
+    fences = cut_lineage(qs.select(F.struct(*by).alias("_group"), "q1", "median", "q3", "n", (F.col("q1") - spread).alias("_lf"), (F.col("q3") + spread).alias("_uf")))
+    side = F.broadcast(fences) if fences.count() <= BOX_GROUPS else fences
     x = F.col(value)
     inside = (x >= F.col("_lf")) & (x <= F.col("_uf"))
-    tails = df.where(x.isNotNull()).join(fences.select(*by, "_lf", "_uf"), list(by)).groupBy(*by).agg(
-        F.min(F.when(inside, x)).alias("whisker_low"),
-        F.max(F.when(inside, x)).alias("whisker_high"),
-        F.count_if(~inside).alias("outliers"),
-    )
-    return fences.join(tails, list(by)).drop("_lf", "_uf")
+    # structs compare null-safe, so the null group meets its fences
+    rows = df.where(x.isNotNull()).select(F.struct(*by).alias("_group"), value).join(side, "_group")
+    out = rows.groupBy("_group").agg(
+        *[F.first(c).alias(c) for c in ("q1", "median", "q3", "n")],  # the same on all rows of a group
+        F.min(F.when(inside, x)).alias("whisker_low"), F.max(F.when(inside, x)).alias("whisker_high"), F.count_if(~inside).alias("outliers"))
+    return out.select(*[F.col("_group")[c].alias(c) for c in by], "q1", "median", "q3", "n", "whisker_low", "whisker_high", "outliers")
 
 
 def density_grid(df: DataFrame, x: str, y: str, x_width: float, y_width: float) -> DataFrame:

@@ -28,9 +28,7 @@ def monthly_series(dom: Domain) -> DataFrame:
     e = dom.encounters()
     monthly = e.groupBy(month_start("encounter_date").alias("period_start"),
                         month_label("encounter_date").alias("period_label")).agg(
-        # encounter_id is the declared primary key of encounters (audited by the key check),
-        # so COUNT(DISTINCT encounter_id) is a plain count -- no distinct aggregation needed
-        F.count("encounter_id").alias("total_encounters"),
+        F.count_distinct("encounter_id").alias("total_encounters"),
         F.sum("time_in_hospital").alias("_los_sum"),
         F.count("time_in_hospital").alias("_los_n"),
         F.sum("number_inpatient").alias("total_inpatient_visits"),
@@ -165,10 +163,10 @@ def patient_risk_scores(dom: Domain, patient_id: int | None = None) -> DataFrame
 
 def encounter_summary(dom: Domain, encounter_id: int | None = None) -> DataFrame:
     """Q5: encounter with its outcome category (one key, or all when no key is given)."""
-    e = dom.encounters()
-    if encounter_id is not None:
-        e = e.where(F.col("encounter_id") == encounter_id)
-    return e.select("encounter_id", "patient_id", "encounter_date", "time_in_hospital", "readmitted_category")
+    e, o = dom.encounters().drop("readmitted_category"), dom.outcomes().select("encounter_id", "readmitted_category")
+    if encounter_id is not None:  # on both sides, so that both scans are cut down
+        e, o = e.where(F.col("encounter_id") == encounter_id), o.where(F.col("encounter_id") == encounter_id)
+    return e.join(o, "encounter_id", "left").select("encounter_id", "patient_id", "encounter_date", "time_in_hospital", "readmitted_category")
 
 
 def patient_risk_level(dom: Domain) -> DataFrame:
@@ -257,8 +255,8 @@ def provider_performance(dom: Domain, top: int = 15) -> DataFrame:
 
 # ---------------------------------------------------------------- Q11 patient risk profile
 
-def patient_risk_profile(dom: Domain, corrected: bool = False) -> DataFrame:
-    """Q11: patient risk profile, faithful or fan-out-safe.
+def patient_risk_profile(dom: Domain, corrected: bool = False, ordered: bool = False) -> DataFrame:
+    """Q11: patient risk profile, faithful or fan-out-safe; ``ordered`` by early readmissions, then encounters, both falling.
 
     The reference joins each encounter to its drugs *and* diagnoses before SUM/AVG, so
     every encounter counts (drugs x diagnoses) times. ``corrected=False`` reproduces those
@@ -283,7 +281,7 @@ def patient_risk_profile(dom: Domain, corrected: bool = False) -> DataFrame:
         m = F.greatest(F.coalesce("_d", F.lit(0)), F.lit(1)) * F.greatest(F.coalesce("_g", F.lit(0)), F.lit(1))
     cat = F.col("readmitted_category")
     pe = ew.withColumn("_m", m.cast("bigint")).groupBy("patient_id").agg(
-        F.count("encounter_id").alias("total_encounters"),  # one row per encounter (declared key)
+        F.count_distinct("encounter_id").alias("total_encounters"),
         F.sum(F.col("_m") * F.col("time_in_hospital")).alias("_los_sum"),
         F.sum("_m").alias("_los_n"),
         F.max("encounter_age").alias("latest_age"),
@@ -296,7 +294,7 @@ def patient_risk_profile(dom: Domain, corrected: bool = False) -> DataFrame:
     p = dom.patients()
     j = p.join(pe, "patient_id", "inner")
     early, total = F.col("early_readmissions"), F.col("total_encounters")
-    return j.select(
+    out = j.select(
         "patient_id",
         F.when(F.col("race").isNull(), "Unknown").otherwise(F.col("race")).alias("race"),
         "gender",
@@ -314,6 +312,7 @@ def patient_risk_profile(dom: Domain, corrected: bool = False) -> DataFrame:
         F.when(early >= 2, LB.RISK_CATEGORIES[0]).when(early == 1, LB.RISK_CATEGORIES[1])
         .when(total >= 3, LB.RISK_CATEGORIES[2]).otherwise(LB.RISK_CATEGORIES[3]).alias("risk_category"),
     )
+    return out.orderBy(F.desc("early_readmissions"), F.desc("total_encounters"), "patient_id") if ordered else out
 
 
 # ---------------------------------------------------------------- Q9 JSON bands after bulk JSON updates
@@ -392,6 +391,19 @@ def text_search(dom: Domain, terms=("tion",)) -> DataFrame:
         .orderBy(F.desc("relevance"), "doc_id")
 
 
+def monograph_search(dom: Domain, term: str = "high") -> DataFrame:
+    """Q10 (5E) on what the reference searches: drugs whose monograph holds the word, most relevant first."""
+    drugs = dom.drugs().select("drug_id", "generic_name", "drug_class", "monograph_xml")
+    hits = X.search(drugs.select("drug_id", "monograph_xml"), "monograph_xml", [term]).select("drug_id", "relevance")
+    return drugs.join(hits, "drug_id").select(*drugs.columns, "relevance").orderBy(F.desc("relevance"), "drug_id")
+
+
+def drug_fanout(dom: Domain) -> DataFrame:
+    """What joining encounters to their drugs does to the row count."""
+    from ..operators.joins import fanout_report
+    return fanout_report(dom.encounters().select("encounter_id"), dom.encounter_drugs(), ["encounter_id"])
+
+
 def corpus_term_frequencies(dom: Domain) -> DataFrame:
     """X2 index: term count and document count of every token of the corpus."""
     return X.document_frequencies(dom.t.documents, "doc_id", "text")
@@ -488,6 +500,25 @@ def table_inventory(dom: Domain) -> DataFrame:
     return QA.table_inventory({n: getattr(dom.t, n) for n in TABLE_NAMES})
 
 
+def table_classes(dom: Domain) -> DataFrame:
+    """Row count of every table and its class by name: a list of core tables, a pattern for junctions, the rest."""
+    name = F.col("table_name")
+    kind = F.when(name.isin("customer", "orders", "part", "supplier"), "Core").when(name.like("line%"), "Junction").otherwise("Lookup/System")
+    return QA.table_inventory(dom.t.all()).select("table_name", "row_count", kind.alias("table_type")).orderBy(F.desc("row_count"), "table_name")
+
+
+def name_columns(dom: Domain) -> DataFrame:
+    """Text columns of the tables whose name is LIKE '%\\_name', with the rows that have a value."""
+    tables = dom.t.all()
+    found = QA.column_inventory(tables, name_like="%\\_name").collect()  # rows of the schema
+    parts = [tables[r.table_name].agg(F.count(r.column_name).alias("rows_filled"), F.count_if(F.col(r.column_name).isNull()).alias("rows_missing"))
+             .select(F.lit(r.table_name).alias("table_name"), F.lit(r.column_name).alias("column_name"), F.lit(r.data_type).alias("data_type"), "*") for r in found]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def requirement_dashboard(dom: Domain) -> DataFrame:
     """Requirements measured on the data, status computed against the threshold."""
     def cnt(df):

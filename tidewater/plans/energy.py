@@ -17,7 +17,7 @@ from ..operators import evaluation as EV
 from ..operators import features as FE
 from ..operators import models as MD
 from ..operators import tuning as TU
-from ..operators.aggregates import duplicate_counts, named_agg
+from ..operators.aggregates import box_stats, describe, duplicate_counts, named_agg
 from ..operators.joins import left_merge
 from ..operators.quality import rename_required
 from ..session import cut_lineage
@@ -155,6 +155,18 @@ def forest_importances(t: Tables, trees: int = 300, depth: int | None = None, to
     return EV.feature_importances(model, feats, top)
 
 
+def usage_describe(t: Tables) -> DataFrame:
+    """A19 of the usage column."""
+    return describe(merged_table(t), ["usage_kwh"], digits=4)
+
+
+def usage_box_by_type(t: Tables, rows: int = 2000) -> DataFrame:
+    """Box statistics of the usage by property type, on a capped sample as for the plot; entries without a property are a group."""
+    few = FE.exact_sample(merged_table(t).select("entry_id", "property_type", "usage_kwh"), "entry_id", cap=rows, seed=42)
+    found = box_stats(few, "usage_kwh", ["property_type"])
+    return found.select("property_type", *[F.round(c, 6).alias(c) for c in ("q1", "median", "q3")], "n", "whisker_low", "whisker_high", "outliers")
+
+
 def heat_map(t: Tables) -> DataFrame:
     """Correlations of all numeric columns of the merged table that vary, the log usage included."""
     data = merged_table(t).withColumn("log_usage_kwh", F.log1p("usage_kwh")).withColumn("constant", F.lit(1.0))

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.expressions import corr_safe, decade_label, round_ratio, three_way_category
+from ..functions.expressions import corr_safe, decade_label, millions, round_ratio, three_way_category
 from ..operators import aggregates as A
 from ..operators.features import exact_sample, stratified_label
 from ..operators.ordering import row_of_extreme
@@ -122,6 +122,22 @@ def q15_top5_gdp(dom: Domain) -> DataFrame:
     return q15_country_means(dom).orderBy(F.desc("GDPperCapita"), "Country").limit(5)
 
 
+def q15_top5_life(dom: Domain) -> DataFrame:
+    """Task 3: the five countries with the highest mean life expectancy (ties by name)."""
+    return q15_country_means(dom).orderBy(F.desc("LifeExpectancy"), "Country").limit(5)
+
+
+def q15_first_countries(dom: Domain, rows: int = 10) -> DataFrame:
+    """Task 2: the first observations, in the order of their key, with life > 75 and GDP > 30,000."""
+    df = indicators(dom).where((F.col("LifeExpectancy") > 75) & (F.col("GDPperCapita") > 30000))
+    return df.select("obs_id", "Country").orderBy("obs_id").limit(rows)
+
+
+def q15_population_millions(dom: Domain) -> DataFrame:
+    """Task 6: population in millions of every observation."""
+    return indicators(dom).select("obs_id", "Country", F.round(millions("Population"), 6).alias("PopulationMillions"))
+
+
 def q15_growth_by_decade(dom: Domain) -> DataFrame:
     df = indicators(dom)
     return df.groupBy(decade_label("Year").alias("Decade")).agg(exact_mean("GDPGrowth", 6).alias("GDPGrowth"))
