@@ -107,3 +107,15 @@ def test_order_and_declared_actions():
         R.declared_relations(on_delete={"orders.nothing": "cascade"})
     with pytest.raises(ValueError):
         R.Relation("a", "b", "c", "d", "sometimes")
+
+
+def test_reference_audit_counts_rows_of_all_references_at_once(spark):
+    from tidewater.operators.quality import foreign_key_audit
+    from tidewater.sources.tables import REGISTRY
+    rows = {"region": [(0, "a")], "nation": [(1, "x", 0), (2, "y", 5), (3, "z", None)], "customer": [(1, "c", 1, 0.0, "s"), (2, "c", 9, 0.0, "s"), (2, "c", 9, 0.0, "s"), (3, "c", None, 0.0, "s")]}
+    tables = {n: spark.createDataFrame(r, REGISTRY[n].schema) for n, r in rows.items()}
+    found = {(r.table_name, r.rule): r.violations for r in foreign_key_audit(tables).collect()}
+    assert found == {("nation", "foreign_key:n_regionkey->region.r_regionkey"): 1, ("customer", "foreign_key:c_nationkey->nation.n_nationkey"): 2}
+    empty = {n: t.limit(0) for n, t in tables.items()}
+    assert {r.violations for r in foreign_key_audit(empty).collect()} == {0}
+    assert foreign_key_audit({"region": tables["region"]}) is None

@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..sources.tables import REGISTRY, TableSpec
-from .joins import orphans
 
 
 def _stack(table: str, row: DataFrame, names: Sequence[str]) -> DataFrame:
@@ -59,14 +58,33 @@ def key_audit_summary(df: DataFrame, table: str, key: Sequence[str]) -> DataFram
         F.lit(table).alias("table_name"), F.lit("primary_key:" + ",".join(key)).alias("rule"), "violations")
 
 
-def foreign_key_audit(tables: dict[str, DataFrame], table: str, spec: TableSpec) -> list[DataFrame]:
-    """Orphan count for every declared reference of ``table``."""
-    out = []
-    for c, parent, pc in spec.foreign_keys:
-        n = orphans(tables[table].select(c), tables[parent], c, pc).agg(F.count(F.lit(1)).cast("bigint").alias("violations"))
-        out.append(n.select(F.lit(table).alias("table_name"), F.lit(f"foreign_key:{c}->{parent}.{pc}").alias("rule"),
-                            "violations"))
-    return out
+def foreign_key_audit(tables: dict[str, DataFrame], names: Sequence[str] | None = None) -> DataFrame | None:
+    """Child rows without a parent for every declared reference of the tables, all references together.
+
+    A table is read once for all its references: its rows give (reference, key) pairs, which are counted before they are
+    shuffled, and the counts -- one row per key value, a hot key included -- meet the parents' keys in one anti-join.
+    """
+    references = [(i, t, c, p, pc) for i, (t, c, p, pc) in enumerate((t, *ref) for t in names or list(tables) for ref in REGISTRY[t].foreign_keys)]
+    if not references:
+        return None
+
+    def union(frames: list[DataFrame]) -> DataFrame:
+        out = frames[0]
+        for f in frames[1:]:
+            out = out.unionByName(f)
+        return out
+
+    def pair(i: int, column: str):
+        return F.struct(F.lit(i).alias("ref"), F.col(column).cast("string").alias("key"))
+
+    children = union([tables[t].select(F.explode(F.array(*[pair(i, c) for i, of, c, _, _ in references if of == t])).alias("x")).select("x.*")
+                      for t in dict.fromkeys(r[1] for r in references)])
+    parents = union([tables[p].select(pair(i, pc).alias("x")).select("x.*") for i, _, _, p, pc in references])
+    counts = children.where(F.col("key").isNotNull()).groupBy("ref", "key").agg(F.count(F.lit(1)).alias("n"))
+    orphaned = counts.join(parents, ["ref", "key"], "left_anti").groupBy("ref").agg(F.sum("n").alias("n"))
+    rules = children.sparkSession.createDataFrame([(i, t, f"foreign_key:{c}->{p}.{pc}") for i, t, c, p, pc in references], "ref int, table_name string, rule string")
+    return rules.join(F.broadcast(orphaned), "ref", "left").select(  # a row per declared reference at most
+        "table_name", "rule", F.coalesce("n", F.lit(0)).cast("bigint").alias("violations"))
 
 
 def constraint_audit(tables: dict[str, DataFrame], names: Sequence[str] | None = None) -> DataFrame:
@@ -80,7 +98,9 @@ def constraint_audit(tables: dict[str, DataFrame], names: Sequence[str] | None =
             parts.append(r)
         if spec.primary_key:
             parts.append(key_audit_summary(df, name, spec.primary_key))
-        parts += foreign_key_audit(tables, name, spec)
+    references = foreign_key_audit(tables, names)
+    if references is not None:
+        parts.append(references)
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
