@@ -112,8 +112,7 @@ def test_pipeline_form_keeps_columns(docs):
     assert left.columns == docs.columns and left.where("doc_id = 100").count() == 1 and left.where("doc_id = 2").count() == 0
 
 
-@pytest.mark.parametrize("bound", [decontam.BROADCAST_BYTES, 0])
-def test_contamination(spark, docs, bound):
+def test_contamination(spark, docs):
     texts = {r.doc_id: r.text for r in docs.where("doc_id >= 100").collect()}
     w = texts[100].split()
     items = [(1, " ".join(w[5:17]).upper()), (2, "one two"), (3, "!!"), (4, None), (5, " ".join(w[40:49]) + " other words"), (1, " ".join(w[5:17])), (6, "")]
@@ -131,12 +130,45 @@ def test_contamination(spark, docs, bound):
                     hit.update(range(k, k + len(g)))
                     found.add(i)
         want[(r.doc_id, len(x), len(hit), len(found), hashlib.sha256(",".join(sorted(found)).encode()).hexdigest(), bool(hit))] += 1
-    got = decontam.decontaminate(docs, bench, broadcast_bytes=bound).drop("items").collect()
+    got = decontam.decontaminate(docs, bench).drop("items").collect()
     assert collections.Counter(map(tuple, got)) == want
-    clean = decontam.clean_rows(docs, bench, broadcast_bytes=bound)
+    clean = decontam.clean_rows(docs, bench)
     assert clean.columns == docs.columns and clean.count() == sum(n for k, n in want.items() if not k[5])
 
 
+def test_contamination_of_many_windows(spark):
+    """Windows of every width that begin and end at text borders, one of them in a third of all rows, a long text, clashing columns."""
+    r = random.Random(8)
+    vocabulary = [f"w{i}" for i in range(6)] + ["É", "ß9"]
+    items = [(f"i{k}", " ".join(r.choice(vocabulary) for _ in range(r.choice([1, 2, 5, 9, 10, 14])))) for k in range(40)] + [("a,b", "the shared one"), ("b", "The-shared one"), (None, "w1"), ("n", None)]
+    items = [(k, t) for k, t in items if t is None or len(t.split()) > 2 or k in ("a,b", "b", None)]
+    rows = [(i, " ".join(r.choice(vocabulary) for _ in range(60)) + (" the shared one" if i % 3 == 0 else "")) for i in range(60)]
+    rows += [(60, None), (61, ""), (62, "the shared"), (0, rows[0][1]), (63, words(9, 60_000) + " the shared one " + words(10, 60_000)), (None, "the shared one")]
+    rows += [(70 + i, f"w1 {t} w2 w3 {t}") for i, (k, t) in enumerate(items) if t]
+    docs = spark.createDataFrame([(i, t, "x", 1.5) for i, t in rows], "doc_id long, text string, words string, size double").repartition(4)
+    bench = spark.createDataFrame([(k, t, 1) for k, t in items], "item_id string, text string, doc_id int")
+    grams = {}
+    for k, t in items:
+        x = ITEM_WORD.findall(lower(t))
+        for a in range(max(1, len(x) - 9)) if x and k else ():
+            grams.setdefault(tuple(x[a : a + 10]), set()).add(k)
+    want = collections.Counter()
+    for i, t in rows:
+        x, hit, found = ITEM_WORD.findall(lower(t)), set(), set()
+        for n in {len(g) for g in grams}:
+            for k in range(len(x) - n + 1):
+                if ids := grams.get(tuple(x[k : k + n])):
+                    hit.update(range(k, k + n))
+                    found |= ids
+        want[(i, len(x), len(hit), len(found), ",".join(sorted(found)), bool(hit))] += 1
+    got = decontam.decontaminate(docs, bench)
+    assert collections.Counter((r.doc_id, r.n_words, r.n_hit, r.n_items, ",".join(r["items"]), r.contaminated) for r in got.collect()) == want
+    assert any(k[2] > 20 for k in want) and any(k[0] == 63 and k[2] >= 3 for k in want)
+    clean = decontam.clean_rows(docs, bench)
+    assert clean.columns == docs.columns and clean.count() == sum(n for k, n in want.items() if not k[5])
+    assert decontam.clean_rows(docs.limit(0), bench).count() == 0 and decontam.clean_rows(docs, bench.limit(0)).count() == len(rows)
+
+
 def test_rules_base(docs):
     want = collections.Counter()
     for r in docs.select("doc_id", "text").collect():

@@ -3,35 +3,42 @@
 An item's windows are its runs of ``width`` consecutive words; a shorter item that has words
 is one window. Containment of a whole window needs every one of its words, so a prefix of one
 word is enough: the window's rarest word over all documents. A document position can
-only begin an occurrence if it holds such a word and if the window fits into the document around
-it (length and positional bounds). The remaining candidates are compared window by window,
-first by hash, then word by word.
-
-The window index is broadcast only if the measured size of the benchmark is under
-``broadcast_bytes``; a larger benchmark is joined by a shuffle on the window hash.
+only begin an occurrence if it holds such a word at the window's offset of it and if the window
+fits into the document around it (length and positional bounds).
+
+There is one way at every size of the benchmark. Its distinct windows are a Spark table. Every task
+that reads documents holds two tables of fixed size, whatever the benchmark: for each of ``SLOTS`` hashes of a
+word the (size, offset) pairs of the windows whose rarest word falls there, and a bit for each of
+64 * ``SLOTS`` hashes of a window. What passes both leaves the task with its words, once per
+document and window, and is joined with the table of windows on the words themselves, so the result
+is exact; a full bit table only lets more rows through to that join. Documents are never shuffled with
+their texts. Windows that are met very often are joined where their rows lie (``join_unique``).
+The list of item ids and its digest are made once for each distinct combination of items.
 
 Defined cases: null and empty texts have no words (n_words 0, not contaminated); items without
 words have no window; repeated items count by distinct item_id; a repeated document row gives
-a repeated result row; a null item_id is never reported; further columns of either table are ignored.
+a repeated result row; a null item_id is never reported; of equally rare words of a window the one with the
+least hash is its prefix; a very long text is one chunk of its task (about 75 bytes of memory per byte) and gives one row;
+an empty benchmark leaves all documents clean; an empty table gives no rows; further columns of either table are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textkernel as K
-from .common import map_rows, text_column
+from .common import Workspace, first_columns, join_unique, numbered, text_column
 
 WIDTH = 10
-BROADCAST_BYTES = 32 << 20
+SLOT_BITS = 20
+SLOTS = 1 << SLOT_BITS  # entries of each fixed table: 8 MB at 8 bytes
+BLOCK = 1 << 15  # windows of a long item that are handled together
 _TABLE = K.is_word_byte("alnum")
 _CODES = K.byte_codes(lower=True)
-RESULT = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, items array<string>"
+_ONE = K.U64(1)
 
 
 def word_hashes(chunk: K.Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -41,80 +48,27 @@ def word_hashes(chunk: K.Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
     return starts, ends, docs, K.span_hash(K.prefix_sums(chunk.data, _CODES), starts, ends)
 
 
-def item_windows(chunk: K.Chunk, width: int):
-    """(document, first word, words, hash) of every window of the chunk's items."""
-    starts, ends, docs, h = word_hashes(chunk)
-    counts, first = K.run_lengths(docs, chunk.n)
-    at, g = K.windows(h, docs, width)
+def item_windows(h: np.ndarray, docs: np.ndarray, n: int, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(document, first word, words) of every window of ``n`` items."""
+    counts, first = K.run_lengths(docs, n)
+    m = max(0, len(h) - width + 1)
+    at = np.flatnonzero(docs[:m] == docs[len(docs) - m :])
     short = np.flatnonzero((counts > 0) & (counts < width))
-    whole = K.whole_hash(h, docs, chunk.n) if len(short) else np.zeros(0, K.U64)
-    doc = np.concatenate([docs[at], short])
-    begin = np.concatenate([at, first[short]])
-    size = np.concatenate([np.full(len(at), width), counts[short]])
-    return doc, begin, size, np.concatenate([g, whole[short]]), (starts, ends, docs, h)
-
-
-class WindowIndex:
-    """Distinct windows of a benchmark of bounded size, keyed by their rarest word."""
-
-    def __init__(self, items: list[tuple[str, str]], width: int):
-        self.width, by_window = width, {}
-        texts = pa.array([t for _, t in items], pa.string())
-        for chunk in K.chunks(texts):
-            doc, begin, size, g, (starts, ends, _, h) = item_windows(chunk, width)
-            lowered = chunk.data.tobytes().lower()
-            for d, b, n, key in zip(doc.tolist(), begin.tolist(), size.tolist(), g.tolist(), strict=True):
-                words = b" ".join(lowered[s:e] for s, e in zip(starts[b : b + n], ends[b : b + n], strict=True))
-                found = by_window.setdefault((key, words), (n, h[b : b + n], set()))
-                found[2].add(items[chunk.first + d][0])
-        self.windows = [(key, words, n, hashes, tuple(sorted(ids))) for (key, words), (n, hashes, ids) in by_window.items()]
-        self.vocabulary = np.unique(np.concatenate([w[3] for w in self.windows])) if self.windows else np.zeros(0, K.U64)
-
-    def order(self, frequency: np.ndarray) -> None:
-        """Chooses each window's rarest word; ``frequency`` is by vocabulary position."""
-        rank = np.lexsort((self.vocabulary, frequency)).argsort() if len(self.vocabulary) else np.zeros(0, int)
-        rows = []
-        for i, (key, _, n, hashes, _) in enumerate(self.windows):
-            ranks = rank[np.searchsorted(self.vocabulary, hashes)]
-            o = int(ranks.argmin())
-            rows.append((int(hashes[o]), o, n, key, i))
-        rows.sort()
-        self.prefix = np.array([r[0] for r in rows], K.U64)
-        self.offset = np.array([r[1] for r in rows], np.int64)
-        self.size = np.array([r[2] for r in rows], np.int64)
-        self.key = np.array([r[3] for r in rows], K.U64)
-        self.window = np.array([r[4] for r in rows], np.int64)
-        self.texts = [w[1] for w in self.windows]
-        self.items = [w[4] for w in self.windows]
-        del self.windows
-
-    def hits(self, chunk: K.Chunk):
-        """Word counts of the chunk's documents and (document, first word, words, window) of each occurrence."""
-        starts, ends, docs, h = word_hashes(chunk)
-        counts, first = K.run_lengths(docs, chunk.n)
-        none = counts, first, []
-        if not len(h) or not len(self.prefix):
-            return none
-        left = np.searchsorted(self.prefix, h, "left")
-        at = np.flatnonzero(self.prefix[np.minimum(left, len(self.prefix) - 1)] == h)
-        if not len(at):
-            return none
-        fanout = np.searchsorted(self.prefix, h[at], "right") - left[at]
-        posting, at = K.expand(left[at], fanout), np.repeat(at, fanout)
-        begin = at - self.offset[posting]
-        fits = (begin >= first[docs[at]]) & (begin + self.size[posting] <= (first + counts)[docs[at]])
-        begin, posting, at = begin[fits], posting[fits], at[fits]
-        if not len(begin):
-            return none
-        sums = _word_sums(h)
-        same = _window_hash(sums, begin, self.size[posting]) == self.key[posting]
-        found = []
-        for b, p in zip(begin[same].tolist(), posting[same].tolist(), strict=True):
-            n, w = int(self.size[p]), int(self.window[p])
-            words = b" ".join(chunk.data[s:e].tobytes().lower() for s, e in zip(starts[b : b + n], ends[b : b + n], strict=True))
-            if words == self.texts[w]:
-                found.append((int(docs[b]), b, n, w))
-        return counts, first, found
+    return np.concatenate([docs[at], short]), np.concatenate([at, first[short]]), np.concatenate([np.full(len(at), width), counts[short]])
+
+
+def _slot(h: np.ndarray) -> np.ndarray:
+    return (h >> K.U64(64 - SLOT_BITS)).astype(np.int64)
+
+
+def _bit(h: np.ndarray) -> np.ndarray:
+    """The bit of a window's hash within its slot."""
+    return _ONE << ((h >> K.U64(64 - SLOT_BITS - 6)) & K.U64(63))
+
+
+def _place(size, offset):
+    """Bit of a (size, offset) pair; beyond a width of 10 some pairs share one, which costs comparisons only."""
+    return (size * (size - 1) // 2 + offset) % 64
 
 
 def _word_sums(h: np.ndarray) -> np.ndarray:
@@ -124,170 +78,185 @@ def _word_sums(h: np.ndarray) -> np.ndarray:
     return sums
 
 
-def _window_hash(sums: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+def _window_hash(sums: np.ndarray, begin: np.ndarray, size) -> np.ndarray:
     _, down = K._POWERS.upto(len(sums))
-    return K.mix64((sums[begin + size] - sums[begin]) * down[begin] + size.astype(K.U64))
+    return K.mix64((sums[begin + size] - sums[begin]) * down[begin] + np.asarray(size).astype(K.U64))
 
 
-def _digest(names: set[str]) -> tuple[int, str, list[str]]:
-    ordered = sorted(names)
-    return len(ordered), hashlib.sha256(",".join(ordered).encode()).hexdigest(), ordered
+def _rarest(h: np.ndarray, begin: np.ndarray, size: np.ndarray, width: int, frequency: np.ndarray) -> np.ndarray:
+    """Offset of each window's rarest word; ties go to the least hash, then to the first place."""
+    offsets = np.arange(width)
+    inside = offsets < size[:, None]
+    words = h[np.where(inside, begin[:, None] + offsets, begin[:, None])]
+    often = np.where(inside, frequency[_slot(words)], np.iinfo(np.int64).max)
+    least = often == often.min(axis=1, keepdims=True)
+    return np.where(least & inside, words, K.U64(0xFFFFFFFFFFFFFFFF)).argmin(axis=1)
 
 
-_OUT = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_hit", pa.int64()), ("n_items", pa.int64()), ("items_sha256", pa.string()), ("contaminated", pa.bool_()), ("items", pa.list_(pa.string()))])
+def _fixed_table(df: DataFrame, at: str, value: str) -> np.ndarray:
+    """Two columns of at most ``SLOTS`` rows as an array over all slots."""
+    rows = df.toArrow()  # one row per slot at most
+    out = np.zeros(SLOTS, np.int64)
+    out[rows.column(at).to_numpy()] = rows.column(value).to_numpy()
+    return out
 
 
-def _rows(ids: pa.Array, n_words: np.ndarray, hit: np.ndarray, items: list[set[str]]) -> pa.RecordBatch:
-    digests = [_digest(x) for x in items]
-    return pa.record_batch([ids.cast(pa.int64()), pa.array(n_words, pa.int64()), pa.array(hit, pa.int64()), pa.array([d[0] for d in digests], pa.int64()), pa.array([d[1] for d in digests]), pa.array(hit > 0), pa.array([d[2] for d in digests], pa.list_(pa.string()))], schema=_OUT)
+def _frequencies(docs: DataFrame, items: DataFrame) -> np.ndarray:
+    """How many words of all documents fall into each slot that holds a word of an item (one row per slot and task is shuffled)."""
 
+    def slots(batches):
+        for batch in batches:
+            for chunk in K.chunks(batch.column(1)):
+                yield pa.record_batch([pa.array(np.unique(_slot(word_hashes(chunk)[3])))], names=["slot"])
 
-def _frequencies(docs: DataFrame, index: WindowIndex) -> np.ndarray:
-    """How often each word of the index occurs in all documents (one row per word and task before the shuffle)."""
-    shared = docs.sparkSession.sparkContext.broadcast(index.vocabulary)
+    used = _fixed_table(items.mapInArrow(slots, "slot long").distinct().withColumn("used", F.lit(1).cast("long")), "slot", "used")
+    names = np.flatnonzero(used)
+    if not len(names):
+        return used
+    number = np.full(SLOTS, len(names), np.int32)
+    number[names] = np.arange(len(names), dtype=np.int32)
+    shared = docs.sparkSession.sparkContext.broadcast((names, number))
 
     def count(batches):
-        vocabulary = shared.value
-        total = np.zeros(len(vocabulary), np.int64)
+        names, number = shared.value
+        total = np.zeros(len(names) + 1, np.int64)
         for batch in batches:
             for chunk in K.chunks(batch.column(0)):
-                h = word_hashes(chunk)[3]
-                at = np.minimum(np.searchsorted(vocabulary, h), len(vocabulary) - 1)
-                total += np.bincount(at[vocabulary[at] == h], minlength=len(vocabulary))
-        some = np.flatnonzero(total)
-        yield pa.record_batch([pa.array(some), pa.array(total[some])], names=["word", "n"])
-
-    counted = docs.select("text").mapInArrow(count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    out = np.zeros(len(index.vocabulary), np.int64)
-    if len(out):
-        for row in counted.collect():  # one row per word of the index, whose size is checked
-            out[row.word] = row.n
-    return out
-
-
-def _slim(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-
-
-def _index(docs: DataFrame, benchmark: DataFrame, width: int, broadcast_bytes: int) -> tuple[DataFrame, WindowIndex | None]:
-    """The items, and their window index unless the benchmark is larger than ``broadcast_bytes``."""
-    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text")).where("item_id IS NOT NULL AND text IS NOT NULL")
-    if items.agg(F.coalesce(F.sum(F.octet_length("text") + 64), F.lit(0)).alias("b")).first().b > broadcast_bytes:
-        return items, None
-    index = WindowIndex([(r.item_id, r.text) for r in items.collect()], width)  # its size has just been checked
-    index.order(_frequencies(docs, index))
-    return items, index
-
-
-def clean_rows(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """The rows of ``docs`` without an occurrence of an item window."""
-    items, index = _index(_slim(docs), benchmark, width, broadcast_bytes)
-    if index is None:
-        content = F.sha2(F.col("text").cast("string"), 256)
-        hit = _shuffled(_slim(docs), items, width, "content").where("contaminated").select("content").distinct()
-        return docs.join(hit, content == hit["content"], "left_anti").select(docs.columns)
-    shared = docs.sparkSession.sparkContext.broadcast(index)
-    at = text_column(docs)
+                total += np.bincount(number[_slot(word_hashes(chunk)[3])], minlength=len(names) + 1)
+        some = np.flatnonzero(total[:-1])
+        yield pa.record_batch([pa.array(names[some]), pa.array(total[some])], names=["slot", "n"])
+
+    return _fixed_table(docs.select("text").mapInArrow(count, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")), "slot", "n")
+
+
+class _Index:
+    """Distinct windows of a benchmark as a table, and the two fixed tables that documents are held against."""
+
+    def __init__(self, docs: DataFrame, benchmark: DataFrame, width: int, work: Workspace):
+        spark = docs.sparkSession
+        slim = first_columns(benchmark, "item_id", "text")
+        items = slim.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text")).where("item_id IS NOT NULL AND text IS NOT NULL")
+        shared = spark.sparkContext.broadcast(_frequencies(docs, items))
+
+        def each(batches):
+            frequency = shared.value
+            for batch in batches:
+                for chunk in K.chunks(batch.column(1)):
+                    starts, ends, docs, h = word_hashes(chunk)
+                    doc, begin, size = item_windows(h, docs, chunk.n, width)
+                    sums, lowered = _word_sums(h), chunk.data.tobytes().lower()
+                    for a in range(0, len(doc), BLOCK):
+                        d, b, n = doc[a : a + BLOCK], begin[a : a + BLOCK], size[a : a + BLOCK]
+                        offset = _rarest(h, b, n, width, frequency)
+                        key = _window_hash(sums, b, n)
+                        words = [_words(lowered, starts, ends, x, y) for x, y in zip(b.tolist(), n.tolist(), strict=True)]
+                        ids = batch.column(0).take(pa.array(chunk.first + d))
+                        numbers = [_slot(h[b + offset]), K.as_long(_ONE << _place(n, offset).astype(K.U64)), _slot(key), K.as_long(_bit(key))]
+                        yield pa.record_batch([ids, pa.array(words, pa.binary()), *(pa.array(x) for x in numbers)], names=["item_id", "words", "slot", "place", "cell", "bit"])
+
+        rows = items.mapInArrow(each, "item_id string, words binary, slot long, place long, cell long, bit long")
+        numbers = [F.first(c).alias(c) for c in ("slot", "place", "cell", "bit")]  # equal in all rows of a window
+        windows = rows.groupBy("words").agg(*numbers, F.array_sort(F.collect_set("item_id")).alias("ids"))
+        self.windows = work.write(windows.withColumn("items_key", F.sha2(F.to_json("ids").cast("binary"), 256)), "windows")
+        places = _fixed_table(self.windows.groupBy("slot").agg(F.bit_or("place").alias("place")), "slot", "place")
+        bits = _fixed_table(self.windows.groupBy("cell").agg(F.bit_or("bit").alias("bit")), "cell", "bit")
+        self.width, self.tables = width, spark.sparkContext.broadcast((places.view(K.U64), bits.view(K.U64)))
+
+    def confirmed(self, met: DataFrame, work: Workspace) -> DataFrame:
+        """Rows of ``met`` (a written table) whose ``words`` are a window, with the key of the window's items."""
+        known = work.write(met.groupBy("words").agg(F.count(F.lit(1)).alias("n")).join(self.windows.select("words", "items_key"), "words"), "met")
+        return join_unique(met, known, "words", "n")
+
+
+def _words(lowered: bytes, starts: np.ndarray, ends: np.ndarray, begin: int, size: int) -> bytes:
+    return b" ".join(lowered[s:e] for s, e in zip(starts[begin : begin + size].tolist(), ends[begin : begin + size].tolist(), strict=True))
+
+
+def _candidates(chunk: K.Chunk, tables: tuple[np.ndarray, np.ndarray], width: int):
+    """Words per document, and per document the windows that may occur: words -> (size, places)."""
+    places, bits = tables
+    starts, ends, docs, h = word_hashes(chunk)
+    counts, first = K.run_lengths(docs, chunk.n)
+    found: dict[int, dict[bytes, tuple[int, list[int]]]] = {}
+    masks = places[_slot(h)]
+    at = np.flatnonzero(masks)
+    if not len(at):
+        return counts, found
+    masks, low, high = masks[at], first[docs[at]], (first + counts)[docs[at]]
+    sums, lowered = _word_sums(h), None
+    seen = np.bitwise_or.reduce(masks)
+    for size in range(1, width + 1):
+        for offset in range(size):
+            place = _ONE << K.U64(_place(size, offset))
+            if not seen & place:
+                continue
+            begin = at - offset
+            fits = ((masks & place) != 0) & (begin >= low) & (begin + size <= high)
+            begin = begin[fits]
+            key = _window_hash(sums, begin, size)
+            begin = begin[(bits[_slot(key)] & _bit(key)) != 0]
+            if len(begin) and lowered is None:
+                lowered = chunk.data.tobytes().lower()
+            for b in begin.tolist():
+                d = int(docs[b])
+                found.setdefault(d, {}).setdefault(_words(lowered, starts, ends, b, size), (size, []))[1].append(b - int(first[d]))
+    return counts, found
+
+
+_FOUND = pa.list_(pa.struct([("words", pa.binary()), ("size", pa.int32()), ("at", pa.list_(pa.int64()))]))
+
+
+def clean_rows(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, work: Workspace | None = None) -> DataFrame:
+    """The rows of ``docs`` without an occurrence of an item window; contents that have one are told apart by SHA-256."""
+    work = work or Workspace(docs.sparkSession, "decontamination")
+    at = f"c_{text_column(docs)}"
+    content = F.sha2(F.coalesce(F.col(at).cast("string"), F.lit("")).cast("binary"), 256)
+    texts = numbered(docs).select(F.col(at).cast("string").alias("text"), content.alias("content"))
+    index = _Index(texts, benchmark, width, work)
+    tables = index.tables
 
-    def judge(batch):
-        known = shared.value
-        for chunk in K.chunks(batch.column(at).cast(pa.string())):
-            clean = np.ones(chunk.n, bool)
-            clean[[d for d, *_ in known.hits(chunk)[2]]] = False
-            yield batch.slice(chunk.first, chunk.n).filter(pa.array(clean))
+    def scan(batches):
+        for batch in batches:
+            for chunk in K.chunks(batch.column(0)):
+                found = _candidates(chunk, tables.value, width)[1]
+                rows = [(chunk.first + d, words) for d, windows in found.items() for words in windows]
+                yield pa.record_batch([batch.column(1).take(pa.array([r[0] for r in rows], pa.int64())), pa.array([r[1] for r in rows], pa.binary())], names=["content", "words"])
 
-    return map_rows(docs, judge).toDF(*docs.columns)
+    met = work.write(texts.mapInArrow(scan, "content string, words binary").distinct(), "met")
+    hit = work.write(index.confirmed(met, work).select(F.col("content").alias("hit")).distinct(), "hit")
+    return numbered(docs).join(hit, content == F.col("hit"), "left_anti").toDF(*docs.columns)
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, work: Workspace | None = None) -> DataFrame:
     """One row per document: words, words inside an occurrence of an item window, and the items that occur."""
-    docs = _slim(docs)
-    items, index = _index(docs, benchmark, width, broadcast_bytes)
-    if index is None:
-        return _shuffled(docs, items, width)
-    shared = docs.sparkSession.sparkContext.broadcast(index)
+    work = work or Workspace(docs.sparkSession, "decontamination")
+    slim = first_columns(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    index = _Index(slim, benchmark, width, work)
+    tables = index.tables
 
     def scan(batches):
-        known = shared.value
         for batch in batches:
             for chunk in K.chunks(batch.column(1)):
-                counts, first, found = known.hits(chunk)
-                mark = np.zeros(int(counts.sum()) + 1, np.int64)
-                items = [set() for _ in range(chunk.n)]
-                for d, b, n, w in found:
-                    mark[b] += 1
-                    mark[b + n] -= 1
-                    items[d].update(known.items[w])
-                covered = (np.cumsum(mark[:-1]) > 0).astype(np.int64)
-                hit = K.segment_sums(covered, first, counts)
-                yield _rows(batch.column(0).slice(chunk.first, chunk.n), counts, hit, items)
-
-    return docs.mapInArrow(scan, RESULT)
-
-
-def _shuffled(docs: DataFrame, items: DataFrame, width: int, give: str = "documents") -> DataFrame:
-    """The way for a benchmark too large to broadcast: equal windows meet by a shuffle on their hash.
-
-    Copies of a document are looked up once, and the words of a window travel with it for the exact test.
-    """
-    sizes = sorted(r.n for r in items.mapInArrow(lambda b: _lengths(b, width), "n int").distinct().collect())  # at most ``width`` numbers
-    # the windows of the items, with their words
-    keyed = items.mapInArrow(lambda b: _item_rows(b, width), "item_id string, words string").distinct()
-    unique = docs.withColumn("content", F.sha2(F.col("text"), 256)).where("content IS NOT NULL")
-    reps = unique.groupBy("content").agg(F.first("text").alias("text"))
-    found = reps.mapInArrow(lambda b: _doc_rows(b, sizes), "content string, at long, size int, words string").join(keyed, "words")
-    if give == "content":
-        return found.select("content", F.lit(True).alias("contaminated"))
-    spans = found.groupBy("content").agg(F.collect_set(F.struct("at", "size")).alias("spans"), F.collect_set("item_id").alias("ids"))
-    joined = docs.withColumn("content", F.sha2(F.col("text"), 256)).join(spans, "content", "left").select("doc_id", "text", "spans", "ids")
-
-    def finish(batches):
-        for batch in batches:
-            spans, ids = batch.column(2), batch.column(3)
-            for chunk in K.chunks(batch.column(1)):
-                docs_of = K.spans(chunk, _TABLE)[2]
-                counts, _ = K.run_lengths(docs_of, chunk.n)
-                hit = np.zeros(chunk.n, np.int64)
-                items = []
-                for i in range(chunk.n):
-                    words = np.zeros(counts[i] + 1, np.int64)
-                    for s in spans[chunk.first + i].as_py() or []:
-                        words[s["at"]] += 1
-                        words[s["at"] + s["size"]] -= 1
-                    hit[i] = int((np.cumsum(words[:-1]) > 0).sum())
-                    items.append(set(ids[chunk.first + i].as_py() or []))
-                yield _rows(batch.column(0).slice(chunk.first, chunk.n), counts, hit, items)
-
-    return joined.mapInArrow(finish, RESULT)
-
-
-def _lengths(batches, width):
-    for batch in batches:
-        for chunk in K.chunks(batch.column(1)):
-            yield pa.record_batch([pa.array(np.unique(item_windows(chunk, width)[2]).astype(np.int32))], names=["n"])
-
-
-def _words_of(chunk, starts, ends, b, n):
-    return b" ".join(chunk.data[s:e].tobytes().lower() for s, e in zip(starts[b : b + n], ends[b : b + n], strict=True)).decode()
-
-
-def _item_rows(batches, width):
-    for batch in batches:
-        for chunk in K.chunks(batch.column(1)):
-            doc, begin, size, _, (starts, ends, _, _) = item_windows(chunk, width)
-            ids = [batch.column(0)[chunk.first + d].as_py() for d in doc.tolist()]
-            words = [_words_of(chunk, starts, ends, b, n) for b, n in zip(begin.tolist(), size.tolist(), strict=True)]
-            yield pa.record_batch([pa.array(ids, pa.string()), pa.array(words, pa.string())], names=["item_id", "words"])
-
-
-def _doc_rows(batches, sizes):
-    for batch in batches:
-        for chunk in K.chunks(batch.column(1)):
-            starts, ends, docs = K.spans(chunk, _TABLE)
-            counts, first = K.run_lengths(docs, chunk.n)
-            for size in sizes:
-                at = np.flatnonzero(docs[: max(0, len(docs) - size + 1)] == docs[size - 1 :])
-                words = [_words_of(chunk, starts, ends, b, size) for b in at.tolist()]
-                content = batch.column(0).take(pa.array(chunk.first + docs[at]))
-                yield pa.record_batch([content, pa.array(at - first[docs[at]], pa.int64()), pa.array(np.full(len(at), size, np.int32)), pa.array(words, pa.string())], names=["content", "at", "size", "words"])
-
+                counts, found = _candidates(chunk, tables.value, width)
+                windows = [[{"words": w, "size": n, "at": at} for w, (n, at) in found[d].items()] if d in found else None for d in range(chunk.n)]
+                yield pa.record_batch([batch.column(0).slice(chunk.first, chunk.n), pa.array(counts, pa.int64()), pa.array(windows, _FOUND)], names=["doc_id", "n_words", "found"])
+
+    scanned = slim.mapInArrow(scan, "doc_id long, n_words long, found array<struct<words:binary,size:int,at:array<bigint>>>")
+    scanned = work.write(scanned.withColumn("row", F.monotonically_increasing_id()), "scanned")  # a row's number is fixed by writing it
+    met = scanned.where("found IS NOT NULL").select("row", F.explode("found").alias("f")).select("row", "f.words", "f.size", "f.at")
+    spans = F.transform("at", lambda a: F.struct(a.alias("at"), (a + F.col("size")).alias("to")))
+    per_row = index.confirmed(met, work).groupBy("row").agg(F.array_sort(F.flatten(F.collect_list(spans))).alias("spans"), F.array_sort(F.collect_set("items_key")).alias("keys"))
+    start = F.struct(F.lit(0).cast("long").alias("to"), F.lit(0).cast("long").alias("n"))
+    covered = F.aggregate("spans", start, lambda acc, x: F.struct(F.greatest(acc["to"], x["to"]).alias("to"), (acc["n"] + F.greatest(F.lit(0).cast("long"), x["to"] - F.greatest(acc["to"], x["at"]))).alias("n")))
+    per_row = work.write(per_row.select("row", covered["n"].alias("n_hit"), "keys", F.sha2(F.array_join("keys", ",").cast("binary"), 256).alias("group")), "rows")
+    # the items of each distinct combination of windows' items
+    groups = per_row.groupBy("group").agg(F.first("keys").alias("keys")).select("group", F.explode("keys").alias("items_key"))
+    named = index.windows.groupBy("items_key").agg(F.first("ids").alias("ids"))
+    lists = groups.join(named, "items_key").groupBy("group").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("ids")))).alias("items"))
+    judged = per_row.select("row", "n_hit", "group").join(lists, "group").drop("group")
+    none = F.array().cast("array<string>")
+    rest = scanned.where("found IS NULL").select("doc_id", "n_words", F.lit(0).cast("long").alias("n_hit"), none.alias("items"))
+    hit = scanned.where("found IS NOT NULL").select("row", "doc_id", "n_words").join(judged, "row", "left")
+    out = rest.unionByName(hit.select("doc_id", "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"), F.coalesce("items", none).alias("items")))
+    digest = F.sha2(F.array_join("items", ",").cast("binary"), 256)
+    return out.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), digest.alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"), "items")
