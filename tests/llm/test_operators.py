@@ -212,6 +212,29 @@ def test_packing_round_trip(docs):
     assert collections.Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in rows) == want
 
 
+def test_packing_exchanges_to_the_end(spark):
+    """Sizes of which every part alone leaves gaps, a third of them one row that repeats; no worse than one best-fit run over all."""
+    r = random.Random(2)
+    lengths = [r.randint(1, 64) for _ in range(1500)] + [23] * 750
+    rows = [(7 if n == 23 else i, 0, 0, n, n, i) for i, n in enumerate(lengths)]
+    work = common.Workspace(spark, "test-packing")
+    table = work.write(spark.createDataFrame(rows, "doc_id long, piece int, start long, length long, ids_crc32 long, number long").repartition(3), "pieces")
+    packed = packing.pack(table, work, capacity=64, part_pieces=100, exchange=400)
+    got = packed.collect()
+    assert collections.Counter(r.length for r in got) == collections.Counter(lengths)
+    by = collections.defaultdict(list)
+    for x in got:
+        by[x.sequence_id].append((x.offset, x.length))
+    for spans in by.values():
+        spans.sort()
+        assert spans[0][0] == 0 and all(a + n == b for (a, n), (b, _) in itertools.pairwise(spans)) and sum(spans[-1]) <= 64
+    used, bound = packing.packing_bound(packed, 64)
+    alone = packing.best_fit_decreasing(np.array(sorted(lengths, reverse=True)), 64)[2]
+    assert used == len(by) and packing.lower_bound(np.array(lengths), 64) == bound <= used <= alone + 8
+    whole = packing.pack(table, work, capacity=64)
+    assert bound <= packing.packing_bound(whole, 64)[0] <= alone
+
+
 def test_units_equal_the_tokenizer():
     import pyarrow as pa
     from tokenizers import Tokenizer

@@ -8,10 +8,12 @@ ids in the order of merges), else by the tokenizer. Texts with unusual white spa
 
 Every partition of pieces is packed by best-fit decreasing on its lengths. Dual feasible functions (the
 identity, Martello and Toth's thresholds and Fekete and Schepers' roundings) give a lower bound on the number of
-sequences: a partition that meets it is certified. Partitions with a gap close their full sequences,
-and the pieces of the others are exchanged: ``MERGE`` neighbours are packed anew together, and the new
-packing is taken if it needs fewer sequences. ``ROUNDS`` such rounds bound a task to
-``PART_PIECES * MERGE ** ROUNDS`` rows of a few numbers.
+sequences: a partition that meets it is certified. While the sum of the partitions has a gap to the bound
+over all pieces, partitions with a gap exchange their documents, and certified ones, whose last sequences add up, give those with room:
+sequences are dealt anew, by their number and the round, to groups of about ``EXCHANGE`` pieces, which are packed by best-fit
+decreasing; a new packing of a group is taken if it needs fewer sequences. This goes on until the whole packing is certified,
+a round saves no more than ``MIN_GAIN`` of the open sequences, or ``MAX_STAGES`` are done. Pieces are numbered as they are written and dealt by that number, so rows that repeat are spread and no task holds more than a group.
+``packing_bound`` gives the sequences used and the lower bound over all pieces.
 
 Defined cases: null and empty texts are one piece with the end id alone; documents of more than ``capacity`` ids
 are cut so that only the first piece can be shorter; repeated rows are packed as rows of their own; ties between
@@ -36,8 +38,9 @@ from .common import Workspace
 CAPACITY = 1024
 END_ID = 2
 PART_PIECES = 1 << 14
-MERGE = 4
-ROUNDS = 2
+EXCHANGE = 1 << 18
+MIN_GAIN = 1e-4
+MAX_STAGES = 31  # a stage's number is in the upper five bits of its sequence ids
 CACHE_UNITS = 250_000
 _CODES = K.byte_codes()
 #: bytes after which the cuts below could differ from the pre-tokenizer's: control bytes and white space beyond space and \n
@@ -274,8 +277,11 @@ def best_fit_decreasing(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray,
 
 
 def lower_bound(lengths: np.ndarray, capacity: int) -> int:
-    """Largest of three families of dual feasible bounds on the number of bins."""
-    count = np.bincount(lengths, minlength=capacity + 1).astype(np.int64)
+    return bound_of_counts(np.bincount(lengths, minlength=capacity + 1).astype(np.int64), capacity)
+
+
+def bound_of_counts(count: np.ndarray, capacity: int) -> int:
+    """Largest of three families of dual feasible bounds on the number of bins; ``count`` holds the items of each length."""
     size = np.arange(capacity + 1)
     best = -(-int((count * size).sum()) // capacity)
     above = count[::-1].cumsum()[::-1]  # items of at least this size
@@ -296,20 +302,20 @@ _PACKED = f"{_ROW}, part long, sequence_id long, offset long, open boolean"
 
 
 def _pack_group(rows: pa.Table, part: int, stage: int, capacity: int) -> pa.Table:
-    """Packs a group anew if that needs fewer sequences than it has; leaves open what a larger group could still improve."""
+    """Packs a group anew if that needs fewer sequences than it has; leaves open all of it, or if it is certified its sequences with room."""
     n = len(rows)
     length = rows.column("length").to_numpy()
     order = np.lexsort((rows.column("ids_crc32").to_numpy(), rows.column("piece").to_numpy(), rows.column("doc_id").fill_null(0).to_numpy(), -length))
-    bins, offsets, used = best_fit_decreasing(length[order], capacity)
-    bound = lower_bound(length, capacity)
     had = len(np.unique(rows.column("sequence_id").to_numpy())) if stage else n + 1
+    bound = lower_bound(length, capacity)
+    bins, offsets, used = (None, None, had) if had == bound else best_fit_decreasing(length[order], capacity)
     if used < had:
         sequence, offset = np.empty(n, np.int64), np.empty(n, np.int64)
         sequence[order], offset[order] = (stage << 58) + (part << 26) + bins, offsets
     else:
         used, sequence, offset = had, rows.column("sequence_id").to_numpy(), rows.column("offset").to_numpy()
-    if used == bound:
-        open_ = np.zeros(n, bool)
+    if used > bound:
+        open_ = np.ones(n, bool)
     else:
         _, at = np.unique(sequence, return_inverse=True)
         open_ = np.bincount(at, length)[at] < capacity
@@ -323,25 +329,42 @@ def _stage(stage: int, capacity: int):
     return each
 
 
-def pack(rows: DataFrame, work: Workspace, capacity: int = CAPACITY, part_pieces: int = PART_PIECES, merge: int = MERGE, rounds: int = ROUNDS) -> DataFrame:
-    """Adds ``sequence_id`` and ``offset`` to pieces that are read from a written table."""
+def _bound(rows: DataFrame, capacity: int) -> int:
+    count = np.zeros(capacity + 1, np.int64)
+    for row in rows.groupBy("length").count().collect():  # one row per length
+        count[row["length"]] = row["count"]
+    return bound_of_counts(count, capacity)
+
+
+def packing_bound(packed: DataFrame, capacity: int = CAPACITY) -> tuple[int, int]:
+    """Sequences of a packing, each of which begins with one piece at offset 0, and the lower bound for all its pieces."""
+    return packed.where("offset = 0").count(), _bound(packed, capacity)
+
+
+def pack(rows: DataFrame, work: Workspace, capacity: int = CAPACITY, part_pieces: int = PART_PIECES, exchange: int = EXCHANGE, min_gain: float = MIN_GAIN) -> DataFrame:
+    """Adds ``sequence_id`` and ``offset`` to pieces that are read from a written table; its ``number`` tells rows apart."""
     parts = max(1, -(-rows.count() // part_pieces))
-    keyed = rows.withColumn("part", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(parts)))
-    keyed = keyed.withColumn("sequence_id", F.lit(0).cast("long")).withColumn("offset", F.lit(0).cast("long")).withColumn("open", F.lit(True))
-    closed = None
-    for stage in range(rounds + 1):
+    bound = _bound(rows, capacity)
+    zero = F.lit(0).cast("long")
+    keyed = rows.select("doc_id", "piece", "start", "length", "ids_crc32", F.pmod(F.xxhash64("number"), F.lit(parts)).alias("part"), zero.alias("sequence_id"), zero.alias("offset"), F.lit(True).alias("open"))
+    closed, shut, before = None, 0, None
+    for stage in range(MAX_STAGES + 1):
         done = work.write(keyed.groupBy("part").applyInArrow(_stage(stage, capacity), _PACKED), "packed")
-        if stage == rounds:
-            final = done
-        else:
-            shut = done.where("NOT open")
-            closed = shut if closed is None else closed.unionByName(shut)
-            keyed = done.where("open").withColumn("part", F.floor(F.col("part") / merge).cast("long"))
-    if closed is not None:
-        final = closed.unionByName(final)
-    return final.drop("part", "open")
+        begins = F.col("offset") == 0  # of each sequence one row
+        seen = done.agg(F.count_if("open").alias("pieces"), F.count_if(begins).alias("all"), F.count_if(begins & F.col("open")).alias("open")).first()
+        saved = None if before is None else before - seen["all"]
+        if not seen["pieces"] or shut + seen["all"] == bound or (saved is not None and saved <= min_gain * before) or stage == MAX_STAGES:
+            break
+        full = done.where("NOT open")
+        closed = full if closed is None else closed.unionByName(full)
+        shut, before = shut + seen["all"] - seen["open"], seen["open"]
+        groups = max(1, -(-seen["pieces"] // exchange))
+        keyed = done.where("open").withColumn("part", F.pmod(F.xxhash64("sequence_id", F.lit(stage)), F.lit(groups)))
+    packed = done if closed is None else closed.unionByName(done)
+    return packed.drop("part", "open")
 
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, work: Workspace | None = None, capacity: int = CAPACITY) -> DataFrame:
     work = work or Workspace(docs.sparkSession, "packing")
-    return pack(work.write(pieces(docs, tokenizer_path, capacity), "pieces"), work, capacity)
+    cut = pieces(docs, tokenizer_path, capacity).withColumn("number", F.monotonically_increasing_id())  # fixed by writing it
+    return pack(work.write(cut, "pieces"), work, capacity)
