@@ -16,8 +16,8 @@ regions of these shingles and to no other. Equal sets are one class from the sta
 Candidate pairs are tested by parity bitmaps, whose Hamming distance never exceeds the symmetric
 difference, then exactly on the whole shingle sets. Links become components without pairs of copies.
 
-The order of shingles is only a matter of speed; it comes from ``ORDER_SAMPLE`` documents and at most
-``ORDER_SHINGLES`` frequent shingles, while every document and shingle takes part in the join.
+The order of shingles is only a matter of speed. It is by how often the shingles of a hash slot occur in all documents
+(``ORDER_SLOTS`` slots, a table of 2 MB at every size of the input): what a frequent shingle shares its slot with does not hide it.
 
 Defined cases: null, empty and word-less texts have no shingles and are their own component; under five
 words the whole sequence is one shingle; repeated rows are each returned; ids may repeat (the component
@@ -38,8 +38,7 @@ from .common import Workspace, map_rows, shuffle_slices, text_column
 from .graph import components
 
 WORDS = 5
-ORDER_SAMPLE = 4096
-ORDER_SHINGLES = 1 << 18
+ORDER_SLOTS = 1 << 18
 SMALL_REGION = 16  # members up to which a region reports pairs at once
 BLOCK = 512  # members of a block of a large cell
 NO_ID = -(1 << 63)  # stands for a null id where rows are named
@@ -102,31 +101,30 @@ def _differs_too_much(a: bytes, b: bytes, na: int, nb: int) -> bool:
     return 7 * int(np.bitwise_count(x ^ y).sum()) > na + nb
 
 
-def _frequent(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles found three times or more among some documents, with their counts. Only for the order."""
-    ids = docs.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(ORDER_SAMPLE).distinct()
-    some = docs.join(F.broadcast(ids), "doc_id", "left_semi").select("text")  # at most ORDER_SAMPLE ids
+def _frequencies(docs: DataFrame) -> np.ndarray:
+    """In how many documents the shingles of each slot are, over all documents. Only for the order."""
 
     def each(batches):
+        total = np.zeros(ORDER_SLOTS, np.int64)
         for batch in batches:
             for chunk in K.chunks(batch.column(0)):
-                keys, counts = np.unique(shingle_sets(chunk)[0], return_counts=True)
-                yield pa.record_batch([pa.array(K.as_long(keys)), pa.array(counts)], names=["g", "n"])
+                total += np.bincount(_slot(shingle_sets(chunk)[0]), minlength=ORDER_SLOTS)
+        some = np.flatnonzero(total)
+        yield pa.record_batch([pa.array(some.astype(np.int32)), pa.array(total[some])], names=["slot", "n"])
 
-    top = some.mapInArrow(each, "g long, n long").groupBy("g").agg(F.sum("n").alias("n")).where("n >= 3").orderBy(F.desc("n"), "g").limit(ORDER_SHINGLES).toArrow()
-    keys, counts = top.column("g").to_numpy().view(K.U64), top.column("n").to_numpy()
-    order = np.argsort(keys)
-    return keys[order], counts[order]
+    counted = docs.select("text").mapInArrow(each, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()  # a row per slot at most
+    out = np.zeros(ORDER_SLOTS, np.int64)
+    out[counted.column("slot").to_numpy()] = counted.column("n").to_numpy()
+    return out
 
 
-def _prefixes(g, doc, sizes, frequent):
+def _slot(g: np.ndarray) -> np.ndarray:
+    return (K.mix64(g ^ K.U64(0x51)) % K.U64(ORDER_SLOTS)).astype(np.int64)
+
+
+def _prefixes(g, doc, sizes, frequency):
     """The first n - ceil(3n/4) + 1 shingles of each set in the global order: hash, document, position."""
-    keys, counts = frequent
-    weight = np.zeros(len(g), np.int64)
-    if len(keys):
-        at = np.minimum(np.searchsorted(keys, g), len(keys) - 1)
-        weight = np.where(keys[at] == g, counts[at], 0)
-    order = np.lexsort((g, weight, doc))
+    order = np.lexsort((g, frequency[_slot(g)], doc))
     first = np.cumsum(sizes) - sizes
     length = np.where(sizes > 0, sizes - needed_overlap(sizes) + 1, 0)
     at = K.expand(first, length)
@@ -153,8 +151,8 @@ def _unpack(blob: bytes):
     return key, np.repeat(cls, run), np.repeat(n, run).astype(np.int64), pos.astype(np.int64)
 
 
-def _entries(docs: DataFrame, frequent, buckets: int) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(frequent)
+def _entries(docs: DataFrame, frequency: np.ndarray, buckets: int) -> DataFrame:
+    shared = docs.sparkSession.sparkContext.broadcast(frequency)
 
     def flush(held):
         keys, cls, n, pos = (np.concatenate(x) for x in zip(*held, strict=True))
@@ -440,7 +438,7 @@ def _components(docs: DataFrame, work: Workspace) -> tuple[DataFrame, DataFrame]
     # equal sets have equal bitmaps; the copies of a class are combined within each task first
     reps = rows.where("cls IS NOT NULL").groupBy("cls").agg(F.min(F.coalesce("doc_id", F.lit(NO_ID))).alias("rep"), F.max("bitmap").alias("bitmap"))
     reps = work.write(reps, "reps")
-    found = work.write(_regions(_entries(docs, _frequent(docs), 4 * slices), slices), "regions")
+    found = work.write(_regions(_entries(docs, _frequencies(docs), 4 * slices), slices), "regions")
     pairs = found.where("kind = 0").select("a", "b", "na", "nb")
     members = found.where("kind = 1")
     stars = members.where("a <> b AND 4 * least(na, nb) >= 3 * greatest(na, nb)").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.when(F.col("a") < F.col("b"), F.col("na")).otherwise(F.col("nb")).alias("na"), F.when(F.col("a") < F.col("b"), F.col("nb")).otherwise(F.col("na")).alias("nb"))
