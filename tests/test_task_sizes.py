@@ -60,3 +60,12 @@ def test_monographs_are_parsed_by_many_tasks(spark, made, monkeypatch):
     spread = Q.drug_monographs(Domain(spark, made)).withColumn("_p", F.spark_partition_id()).collect()
     assert len({r["_p"] for r in spread}) > 1
     assert Counter(tuple(r)[:-1] for r in spread) == whole and len(spread) == 101
+
+
+def test_graph_delete_rows_are_counted_in_small_tasks(spark, made, monkeypatch):
+    whole = Counter(tuple(r) for r in GC.graph_delete_rows(Tables(spark, made)).collect())
+    monkeypatch.setattr(R, "TABLE_TASK_ROWS", 10)  # also few keys are then joined by sorting
+    cut = GC.graph_delete_rows(Tables(spark, made))
+    assert Counter(tuple(r) for r in cut.collect()) == whole
+    plan = cut._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan and ", 200), REPARTITION_BY_NUM" in plan
