@@ -69,3 +69,10 @@ def test_graph_delete_rows_are_counted_in_small_tasks(spark, made, monkeypatch):
     assert Counter(tuple(r) for r in cut.collect()) == whole
     plan = cut._jdf.queryExecution().executedPlan().toString()
     assert "REPARTITION_BY_NUM" in plan and ", 200), REPARTITION_BY_NUM" in plan
+
+
+def test_forest_rows_of_a_task_are_bounded(spark, made, monkeypatch):
+    monkeypatch.setattr(session, "TASK_ROWS", 16)
+    frame, _ = EN.model_frame(Tables(spark, made))
+    sizes = [r["count"] for r in frame.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert sum(sizes) > 200 and max(sizes) <= 3 * 16
