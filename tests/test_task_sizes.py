@@ -76,3 +76,21 @@ def test_forest_rows_of_a_task_are_bounded(spark, made, monkeypatch):
     frame, _ = EN.model_frame(Tables(spark, made))
     sizes = [r["count"] for r in frame.groupBy(F.spark_partition_id().alias("p")).count().collect()]
     assert sum(sizes) > 200 and max(sizes) <= 3 * 16
+
+
+def test_folds_of_few_rows_are_fitted_in_few_tasks(spark):
+    cores, seen = spark.sparkContext.defaultParallelism, []
+    train = spark.createDataFrame([(i, Vectors.dense([float(i)]), float(i)) for i in range(60)], ["id", "features", "label"])
+
+    class Watched:
+        def fit(self, df):
+            seen.append(df.rdd.getNumPartitions())
+            return MD.linear_regression().fit(df)
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(8 * cores))
+    try:
+        TU.grid_search(train, lambda **_: Watched(), TU.grid(a=(1,)), "id", 2, model="watched")
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert seen and max(seen) <= session.TASKS_PER_CORE * cores
