@@ -94,3 +94,16 @@ def test_folds_of_few_rows_are_fitted_in_few_tasks(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
     assert seen and max(seen) <= session.TASKS_PER_CORE * cores
+
+
+def test_readmission_profile_is_made_once(spark, made, monkeypatch):
+    plans = []
+    real = FE.stratified_label
+
+    def watched(df, *args, **kwargs):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return real(df, *args, **kwargs)
+
+    monkeypatch.setattr(FE, "stratified_label", watched)
+    rows = Q.readmission_report(Domain(spark, made), model="tree").collect()
+    assert rows and plans and all("Aggregate" not in p and "LogicalRDD" in p for p in plans)
