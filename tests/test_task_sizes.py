@@ -1,5 +1,6 @@
 """Shares of a task that do not grow with the input, and frames that are made once (fixtures: made rows)."""
 
+import datetime
 from collections import Counter
 
 import pytest
@@ -26,11 +27,13 @@ def _table(spark, folder, name, rows):
 
 @pytest.fixture(scope="module")
 def made(spark, tmp_path_factory):
-    import datetime
     folder = str(tmp_path_factory.mktemp("made"))
-    day = lambda name, field, i: datetime.date(1997, 1 + i % 12, 1 + i % 28) if spark_type(name, field) == "date" \
-        else datetime.datetime(1997, 1 + i % 12, 1 + i % 28) if spark_type(name, field).startswith("timestamp") else f"1997-{1 + i % 12:02d}-{1 + i % 28:02d}"
-    spark_type = lambda name, field: REGISTRY[name].schema[field].dataType.simpleString()
+
+    def day(name, field, i):
+        kind = REGISTRY[name].schema[field].dataType.simpleString()
+        found = datetime.datetime(1997, 1 + i % 12, 1 + i % 28)
+        return found.date() if kind == "date" else found if kind.startswith("timestamp") else found.date().isoformat()
+
     _table(spark, folder, "region", [{"r_regionkey": i, "r_name": f"R{i}"} for i in range(3)])
     _table(spark, folder, "nation", [{"n_nationkey": i, "n_name": f"N{i}", "n_regionkey": i % 3} for i in range(9)])
     _table(spark, folder, "customer", [{"c_custkey": i, "c_name": f"C{i}", "c_nationkey": i % 9, "c_acctbal": 10.0 * i - 50, "c_mktsegment": "AB"[i % 2]} for i in range(60)])
