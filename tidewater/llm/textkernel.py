@@ -80,7 +80,10 @@ def prefix_sums(data: np.ndarray, codes: np.ndarray) -> np.ndarray:
     """``P`` with hash(data[a:b]) = (P[b] - P[a]) * base**-a, all modulo 2**64."""
     up, _ = _POWERS.upto(len(data))
     sums = np.zeros(len(data) + 1, U64)
-    np.cumsum(codes[data] * up[: len(data)], dtype=U64, out=sums[1:])
+    each = sums[1:]
+    np.take(codes, data, out=each, mode="clip")  # nothing to clip: a byte has a code; other modes need a copy
+    each *= up[: len(data)]
+    np.cumsum(each, out=each)
     return sums
 
 
@@ -154,7 +157,7 @@ def spans(chunk: Chunk, table: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.n
     ends = np.flatnonzero(ends_mask)
     if inside[-1]:
         ends = np.append(ends, len(data))
-    docs = np.searchsorted(offsets, starts, side="right") - 1
+    docs = np.repeat(np.arange(len(offsets) - 1), np.diff(np.searchsorted(starts, offsets)))
     return starts, ends, docs
 
 
