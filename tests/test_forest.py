@@ -150,12 +150,17 @@ def meters(spark, tmp_path_factory):
     return d
 
 
-def test_registered_best_forest_is_fitted_on_all_training_rows(spark, meters):
+def test_registered_search_is_the_references_on_all_training_rows(spark, meters):
     from tidewater.plans import energy as EN
     from tidewater.plans.registry import QUERIES
     from tidewater.sources.tables import Tables
 
     rows = {r["split"]: r["count"] for r in EN.model_frame(Tables(spark, meters))[0].groupBy("split").count().collect()}
     assert rows["train"] > 500
+    per_setting: dict = {}
+    for r in QUERIES["m12_forest_grid"](spark, meters).collect():
+        per_setting.setdefault((r.trees, r.depth), []).append(r.n)
+    assert set(per_setting) == {(t, d) for t in (100, 200, 300) for d in (5, 10, 20, None)}
+    assert {(len(n), sum(n)) for n in per_setting.values()} == {(3, rows["train"])}
     report = {r["split"]: r for r in QUERIES["m12_best_forest"](spark, meters).collect()}
     assert {k: r.n for k, r in report.items()} == rows and report["train"].trees in (100, 200, 300)
